@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import packing, splitting, tokens
+from millrace.llm import neardup, packing, splitting, tokens
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p4_batches": packing.p4_batches,
+    "p5_found": neardup.p5_found,
     "p7_found": splitting.p7_found,
     "p7_pieces": splitting.p7_pieces,
     "p8_ids": tokens.p8_ids,
