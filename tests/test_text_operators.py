@@ -1,0 +1,79 @@
+import sys
+from collections import Counter
+from pathlib import Path
+
+import pytest
+
+sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
+
+from millrace.llm import defects, markup, mixing, personal, repetition  # noqa: E402
+from millrace.llm.queries import QUERIES  # noqa: E402
+
+
+@pytest.fixture(scope="module")
+def spark():
+    from pyspark.sql import SparkSession
+
+    s = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").config("spark.sql.shuffle.partitions", "2").getOrCreate()
+    yield s
+    s.stop()
+
+
+def test_registered():
+    assert {"p1_found", "p2_found", "p3_found", "p9_mix", "p9_shares", "p10_found"} <= set(QUERIES)
+
+
+@pytest.mark.parametrize(
+    "text,kinds",
+    [
+        ("<p>a</p> &nbsp;", ["html"]),
+        ("Scope\n====\n\n**bold", ["markdown"]),
+        ("```html\n<b>x</b>\n```", ["markdown"]),
+        ("h2. Steps\n{code:html}\n<b>x</b>\n{code}", ["wiki"]),
+        (r"删除\texttt{<b>} $S_{a} = \sqrt{Q}$", ["latex"]),
+        ("vector<int> <job-name> 6*5*38 $49 __init__.py C:\\x\\bin [5] a < b && c\n- x\n1. y", []),
+    ],
+)
+def test_markup(text, kinds):
+    assert [k for k, in markup.kinds(text)] == kinds
+
+
+def test_mentions():
+    find = personal.finder(["沈蕴之", "陆砚秋", "Ferris Ashdune", "Verity Grauwald"])
+    text = "值班人沈砚秋，电话 161 7982 1354 ，a.b [at] kb [dot] example ，身份证440199199705120687 。Ferris Grauwald, 12 Old Mill Road. SSN 933-54-5285. Dr. Quenby Jutterstedt reviewed"
+    assert Counter(k for k, _, _ in find(text)) == Counter(person=3, phone=1, email=1, id_number=2, address=1)
+    assert find("Build 16032517919 at 10.94.243.201, x@v6.19.15, root@node-3, 2025-07-10 12:41:44, Trace 700428199001011331") == []
+    assert personal.masked("mail a@b.example", find("mail a@b.example")) == "mail [EMAIL]"
+
+
+def test_defects():
+    d = lambda q, a, t=False: [k for k, in defects.defects(q, a, t, {"regression runs cover": 8})]
+    q = "How do I verify that the lease is gone?"
+    assert d(q, None) == d(q, "n/a") == ["empty_answer"]
+    assert d(q, "Yes, it is. Regression runs cover 7") == ["truncated"]
+    assert d(q, "Yes, it is.", True) == ["truncated"]
+    assert d(q, "I'm sorry, but I can't help with x.") == ["refusal"]
+    assert d(q, 'If the console says "Sorry, I can\'t open x", the token is stale, so sign in again.') == []
+    assert d(q, "Question: " + q) == ["copies_query"]
+    assert d(q, "这个开关仅对备份快照生效，修改后需要等待传播。") == ["other_language"]
+
+
+def test_repetition():
+    once = "".join(chr(0x4E00 + i) for i in range(40))
+    assert repetition.repeated(once) == (0, 40)
+    assert repetition.repeated(once + " \n" + once) == (40, 81)
+    assert repetition.repeated("a" * 40) == (39, 40)
+    assert repetition.repeated(None) == (0, 0)
+
+
+def test_mix(spark):
+    rows = [(i, "a", 10, 1.0) for i in range(100)] + [(i, "b", 10, 0.5) for i in range(100, 120)] + [(i, "c", 10, 1.0) for i in range(120, 130)]
+    counted = spark.createDataFrame(rows, "doc_id long, source string, tokens long, weight double")
+    targets = spark.createDataFrame([("a", 0.6, 1), ("b", 0.4, 3), ("gone", 0.3, 2), ("c", 0.0, 2)], "source string, target_share double, max_repeats int")
+    got = mixing.mixed(spark, counted, targets).collect()
+    tokens = Counter()
+    for r in got:
+        tokens[r.source] += r.tokens * r.times
+    assert set(tokens) == {"a", "b"} and tokens["b"] == 600 and tokens["a"] == 900
+    assert max(r.times for r in got if r.source == "a") == 1 and max(r.times for r in got) == 3
+    assert len({r.doc_id for r in got}) == len(got)
