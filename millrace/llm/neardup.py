@@ -1,12 +1,12 @@
-"""Near-duplicate records: MinHash shards, a BK-tree in each, then an exact check.
-
-The similarity of two texts is that of their sets of distinct 3-character substrings. Records are sharded by MinHash
-bands. A BK-tree of each shard holds 512-bit parity sketches: bit ``hash(gram) % 512`` is flipped once for every gram, so the
-Hamming distance of two sketches is at most the number of grams that only one of the records has. A similarity
-threshold bounds that number by the sizes of the sets, which gives a radius that loses no pair of the shard. Trees are
-built and searched level by level as arrays, all trees of a batch at once: children are keyed by their integer
-distance to the parent, and a search follows only the edges within the radius. Trees stay in the task of their shard;
-they would grow with the data and so are not broadcast. Pairs that pass are checked on their texts.
+"""Near-duplicate records: a prefix filter that loses no pair, sketches, then an exact check.
+
+The similarity of two texts is that of their sets of distinct 3-character substrings. With one order of all
+substrings, rare ones first, two sets of similarity t share one of the first ``n - ceil(t * n) + 1`` of either; records
+are sharded by those of the first field, so every pair that is similar enough meets in a shard. Counts for the order
+are kept by hash in a table of fixed size: any order is right, a good one only makes the shards small. In a shard
+all pairs of fitting sizes are compared by 256-bit parity sketches of the first field: bit ``hash(gram) % 256`` is
+flipped once for every gram, so the Hamming distance of two sketches is at most the number of grams that only one of
+the records has, which a threshold bounds by the sizes of the sets. Pairs that pass are checked on their texts.
 """
 
 from __future__ import annotations
@@ -25,7 +25,9 @@ from pyspark.sql import functions as F
 
 from millrace.session import cut, spread, table, text_batches
 
-WORDS = 8  # of 64 bits in a sketch
+WORDS = 4  # of 64 bits in a sketch
+#: Entries of the table of counts that orders the 3-character substrings.
+COUNTS = 1 << 16
 #: Rows of a block of a hot shard, and hot shards that are looked for: a shard that isn't found hot is searched whole in one task.
 BLOCK, MOST_HOT = 4096, 10_000
 _U = np.uint64
@@ -34,11 +36,10 @@ _NOT_TEXT = re.compile(r"[\W_]+")
 
 @dataclass(frozen=True)
 class Field:
-    """A text column, the least similarity, and the MinHash values that it gives to every band."""
+    """A text column and the least similarity."""
 
     name: str
     least: float
-    rows: int
 
 
 def normal(text: str | None) -> str:
@@ -59,125 +60,63 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(32))
 
 
-def minhashes(hashed: np.ndarray, starts: np.ndarray, k: int, seed: int) -> np.ndarray:
-    """k MinHash values of each set; sets are consecutive stretches of ``hashed`` and none is empty."""
-    rng = np.random.default_rng(seed)
-    factors, terms = rng.integers(1, 2**63, k, np.uint64) * _U(2) + _U(1), rng.integers(0, 2**63, k, np.uint64)
-    return np.stack([np.minimum.reduceat(hashed * a + b, starts) for a, b in zip(factors, terms)], 1)
-
-
-def features(frame: dict[str, list], fields: Sequence[Field], bands: int) -> tuple[np.ndarray, list[bytes], np.ndarray, np.ndarray, np.ndarray]:
-    """Of the records whose fields all have grams: their positions, class digests, sizes, sketches and band keys."""
+def features(frame: dict[str, list], fields: Sequence[Field], counts: np.ndarray) -> tuple[np.ndarray, list[bytes], np.ndarray, np.ndarray, list[np.ndarray]]:
+    """Of the records whose fields all have grams: their positions, class digests, sizes, sketches and prefixes."""
     texts = [[normal(t) for t in frame[f.name]] for f in fields]
     sets = [[grams(t) for t in col] for col in texts]
     kept = np.array([i for i in range(len(texts[0])) if all(len(col[i]) for col in sets)], np.int64)
     if not len(kept):
-        return kept, [], np.empty((0, len(fields)), np.int32), np.empty((0, WORDS), _U), np.empty((0, bands), np.int64)
+        return kept, [], np.empty((0, len(fields)), np.int64), np.empty((0, WORDS), _U), []
     digests = [hashlib.blake2b("\0".join(col[i] for col in texts).encode("utf-8", "surrogatepass"), digest_size=16).digest() for i in kept]
-    sizes = np.array([[len(col[i]) for col in sets] for i in kept], np.int32)
-    flips, parts = np.zeros((len(kept), WORDS * 64), bool), []
-    for f, (field, col) in enumerate(zip(fields, sets)):
-        starts = np.concatenate([[0], np.cumsum(sizes[:, f])[:-1]])
-        hashed = mixed(np.concatenate([col[i] for i in kept]) + _U(f + 1))
-        at = np.repeat(np.arange(len(kept)) * WORDS * 64, sizes[:, f]) + (hashed % _U(WORDS * 64)).astype(np.int64)
-        flips ^= (np.bincount(at, minlength=flips.size) & 1).astype(bool).reshape(flips.shape)
-        parts.append(minhashes(hashed, starts, field.rows * bands, 100 + f).reshape(len(kept), bands, field.rows))
-    both = np.concatenate(parts, 2)
-    keys = np.zeros((len(kept), bands), _U) + np.arange(bands, dtype=_U)
-    for j in range(both.shape[2]):
-        keys = mixed(keys ^ both[:, :, j])
-    return kept, digests, sizes, np.packbits(flips, axis=1).view(_U), keys.view(np.int64)
-
-
-# --- the forest of BK-trees ---
-
-
-@dataclass
-class Forest:
-    """BK-trees of many shards. Node i is item i; its children are ``child[first[i]:last[i]]``, by rising edge."""
-
-    root: np.ndarray
-    child: np.ndarray
-    edge_key: np.ndarray  # parent * 1024 + edge, sorted; parallel to child
-
-
-def plant(sketch: np.ndarray, shard: np.ndarray) -> Forest:
-    """Trees of the shards 0..n-1; ``shard`` is sorted. The first item of a group is its node, the others go below it by distance."""
-    items, group = np.arange(len(shard)), shard.astype(np.int64)
-    roots: np.ndarray | None = None
-    parents, edges, nodes = [], [], []
-    above = np.full(len(shard), -1, np.int64)
-    edge = np.zeros(len(shard), np.int64)
-    while len(items):
-        begins = np.concatenate([[True], group[1:] != group[:-1]])
-        node = items[begins]
-        number = np.cumsum(begins) - 1
-        if roots is None:
-            roots = node
-        else:
-            parents.append(above[begins]), edges.append(edge[begins]), nodes.append(node)
-        rest = ~begins
-        items, parent = items[rest], node[number[rest]]
-        d = np.bitwise_count(sketch[items] ^ sketch[parent]).sum(1, dtype=np.int64)
-        key = parent * 1024 + d
-        order = np.argsort(key, kind="stable")
-        items, group, above, edge = items[order], key[order], parent[order], d[order]
-    if not nodes:
-        return Forest(roots if roots is not None else np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64))
-    key = np.concatenate(parents) * 1024 + np.concatenate(edges)
-    order = np.argsort(key, kind="stable")
-    return Forest(roots, np.concatenate(nodes)[order], key[order])
-
-
-def search(forest: Forest, sketch: np.ndarray, queries: np.ndarray, query_sketch: np.ndarray, shard: np.ndarray, radius: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Yields (query, node, distance) of all nodes within each query's radius in the tree of its shard."""
-    q, node = queries, forest.root[shard]
-    while len(q):
-        d = np.bitwise_count(query_sketch[q] ^ sketch[node]).sum(1, dtype=np.int64)
-        r = radius[q]
-        near = d <= r
-        if near.any():
-            yield q[near], node[near], d[near]
-        lo = np.searchsorted(forest.edge_key, node * 1024 + np.maximum(d - r, 0), "left")
-        hi = np.searchsorted(forest.edge_key, node * 1024 + np.minimum(d + r, 1023), "right")
-        many = hi - lo
-        q, at = np.repeat(q, many), np.repeat(lo - np.concatenate([[0], np.cumsum(many)[:-1]]), many) + np.arange(many.sum())
-        node = forest.child[at]
+    sizes = np.array([[len(col[i]) for col in sets] for i in kept], np.int64)
+    hashed = mixed(np.concatenate([sets[0][i] for i in kept]) + _U(1))
+    at = np.repeat(np.arange(len(kept)) * WORDS * 64, sizes[:, 0]) + (hashed % _U(WORDS * 64)).astype(np.int64)
+    flips = (np.bincount(at, minlength=len(kept) * WORDS * 64) & 1).astype(bool).reshape(len(kept), -1)
+    keys = [prefix(h, fields[0].least, counts).view(np.int64) for h in np.split(hashed, np.cumsum(sizes[:, 0])[:-1])]
+    return kept, digests, sizes, np.packbits(flips, axis=1).view(_U), keys
+
+
+def prefix(hashed: np.ndarray, least: float, counts: np.ndarray) -> np.ndarray:
+    """The hashed grams of a set, in the order of all grams, of which it must share one with a set at least so similar."""
+    n = len(hashed) - int(np.ceil(least * len(hashed) - 1e-9)) + 1
+    return hashed[np.lexsort((hashed, counts[(hashed % _U(COUNTS)).astype(np.int64)]))[:n]]
 
 
 def shard_pairs(shard: np.ndarray, side: np.ndarray, ids: np.ndarray, sizes: np.ndarray, sketch: np.ndarray, least: Sequence[float]) -> tuple[np.ndarray, np.ndarray]:
     """Pairs of ids within a shard that the sizes and the sketches don't exclude.
 
-    ``side`` is 0, or tells the two blocks of a cell of a hot shard apart (1 and 2), of which only pairs across are asked for.
+    ``shard`` is sorted. ``side`` is 0, or tells the two blocks of a cell of a hot shard apart (1 and 2), of which only pairs across are asked for.
     """
-    share = np.array([(1 - t) / (1 + t) for t in least])
-    weight = sizes @ share
-    # the heavier of two records asks, and no partner is heavier, so its radius is twice its weight
-    radius = np.floor(2 * weight + 1e-9).astype(np.int64)
-    rank = np.empty(len(ids), np.int64)
-    rank[np.lexsort((ids, weight))] = np.arange(len(ids))
-    forest = plant(sketch, shard)
-    counts = np.bincount(shard)
-    cost = counts[shard].astype(np.int64)
-    slices = np.cumsum(cost) // 2_000_000  # bounds the frontier of a search
-    left, right = [], []
-    for s in range(int(slices[-1]) + 1 if len(slices) else 0):
-        queries = np.nonzero(slices == s)[0]
-        for q, n, d in search(forest, sketch, queries, sketch, shard[queries], radius):
-            ok = (rank[q] > rank[n]) & (d <= weight[q] + weight[n] + 1e-9) & ((side[q] == 0) | (side[q] != side[n]))
+    order = np.lexsort((sizes[:, 0], shard))
+    shard, side, ids, sizes, sketch = shard[order], side[order], ids[order], sizes[order], sketch[order]
+    words = [np.ascontiguousarray(sketch[:, w]) for w in range(sketch.shape[1])]
+    share = (1 - least[0]) / (1 + least[0])
+    bound = share * sizes[:, 0]
+    left, right = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+    edges = np.concatenate([[0], np.nonzero(np.diff(shard))[0] + 1, [len(shard)]])
+    for begin, end in zip(edges[:-1].tolist(), edges[1:].tolist()):
+        for lo in range(begin, end, 256):
+            hi = min(lo + 256, end)
+            top = begin + int(np.searchsorted(sizes[begin:end, 0], sizes[hi - 1, 0] / least[0] + 1e-9, "right"))
+            d = np.zeros((hi - lo, top - lo), np.uint16)
+            for w in words:
+                d += np.bitwise_count(w[lo:hi, None] ^ w[None, lo:top])
+            # cheap bound of the block first, then that of each pair
+            i, j = np.nonzero(d <= np.uint16(min(bound[hi - 1] + bound[top - 1] + 1e-9, 65535)))
+            ok = (j > i) & (d[i, j] <= bound[lo + i] + bound[lo + j] + 1e-9)
+            i, j = lo + i[ok], lo + j[ok]
+            ok = (side[i] == 0) | (side[i] != side[j])
             for f, t in enumerate(least):
-                a, b = sizes[q, f], sizes[n, f]
-                ok &= np.minimum(a, b) + 1e-9 >= t * np.maximum(a, b)
-            left.append(np.minimum(ids[q[ok]], ids[n[ok]])), right.append(np.maximum(ids[q[ok]], ids[n[ok]]))
-    if not left:
-        return np.empty(0, np.int64), np.empty(0, np.int64)
+                x, y = sizes[i, f], sizes[j, f]
+                ok &= np.minimum(x, y) + 1e-9 >= t * np.maximum(x, y)
+            left.append(np.minimum(ids[i[ok]], ids[j[ok]])), right.append(np.maximum(ids[i[ok]], ids[j[ok]]))
     return np.concatenate(left), np.concatenate(right)
 
 
 # --- Spark ---
 
 
-def near_pairs(df: DataFrame, key: str, fields: Sequence[Field], bands: int) -> DataFrame:
+def near_pairs(df: DataFrame, key: str, fields: Sequence[Field]) -> DataFrame:
     """key_a, key_b (key_a < key_b): the pairs of records that are similar enough in every field.
 
     Fields that have no 3-character substring after normalisation are like no other: such a record is in no pair, as
@@ -189,16 +128,18 @@ def near_pairs(df: DataFrame, key: str, fields: Sequence[Field], bands: int) ->
     names, least = [f.name for f in fields], [f.least for f in fields]
     source = df.select(F.col(key).cast("long").alias("_k"), *names)
 
+    counts = _counts(source, names[0])
+
     def featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            kept, digests, sizes, sketch, keys = features({n: b.column(n).to_pylist() for n in names}, fields, bands)
+            kept, digests, sizes, sketch, keys = features({n: b.column(n).to_pylist() for n in names}, fields, counts)
             if len(kept):
                 ids = b.column("_k").to_numpy(zero_copy_only=False)[kept]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids), pa.array(digests, pa.binary()), _lists(sizes), pa.array([r.tobytes() for r in sketch], pa.binary()), _lists(keys)], names=["id", "cls", "sizes", "sketch", "bands"]
+                    [pa.array(ids), pa.array(digests, pa.binary()), pa.array(_packed(sizes)), pa.array([r.tobytes() for r in sketch], pa.binary()), pa.array(keys, pa.list_(pa.int64()))], names=["id", "cls", "sizes", "sketch", "bands"]
                 )
 
-    featured_rows = cut(spread(source).mapInArrow(featured, "id long, cls binary, sizes array<int>, sketch binary, bands array<long>"), "features")
+    featured_rows = cut(spread(source).mapInArrow(featured, "id long, cls binary, sizes long, sketch binary, bands array<long>"), "features")
     classes = featured_rows.groupBy("cls").agg(F.min(F.struct("id", "sizes", "sketch", "bands")).alias("one")).select("one.*")
     hot = _hot(featured_rows)
     rows = classes.select(F.explode("bands").alias("shard"), "id", "sizes", "sketch")
@@ -207,8 +148,27 @@ def near_pairs(df: DataFrame, key: str, fields: Sequence[Field], bands: int) ->
     return _expanded(pairs, featured_rows.select("id", "cls"))
 
 
-def _lists(x: np.ndarray) -> pa.Array:
-    return pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1, dtype=np.int32) * x.shape[1]), pa.array(np.ascontiguousarray(x).ravel()))
+def _counts(source: DataFrame, name: str) -> np.ndarray:
+    """How many records have a gram of each of COUNTS hash values."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(COUNTS, np.int64)
+        for b in batches:
+            parts = [grams(normal(t)) for t in b.column(name).to_pylist()]
+            if parts:
+                total += np.bincount((mixed(np.concatenate(parts) + _U(1)) % _U(COUNTS)).astype(np.int64), minlength=COUNTS)
+        at = np.nonzero(total)[0]
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["at", "n"])
+
+    found = spread(source.select(name)).mapInArrow(count, "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).toPandas()  # at most COUNTS rows
+    counts = np.zeros(COUNTS, np.int64)
+    counts[found["at"].to_numpy(np.int64)] = found["n"].to_numpy(np.int64)
+    return counts
+
+
+def _packed(sizes: np.ndarray) -> np.ndarray:
+    """The sizes of one or two fields in one integer."""
+    return sizes[:, 0] if sizes.shape[1] == 1 else sizes[:, 0] | sizes[:, 1] << 31
 
 
 def _hot(featured_rows: DataFrame) -> dict[int, int]:
@@ -266,7 +226,8 @@ def _searcher(width: int, least: Sequence[float]):
             return
         t = t.filter(pa.array(keep))
         _, number = np.unique(number[keep], return_inverse=True)
-        sizes = t.column("sizes").combine_chunks().flatten().to_numpy().reshape(-1, width)
+        packed = t.column("sizes").to_numpy()
+        sizes = np.stack([packed >> 31 * f & (1 << 31) - 1 for f in range(width)], 1)
         sketch = np.frombuffer(b"".join(t.column("sketch").to_pylist()), _U).reshape(-1, WORDS)
         a, b = shard_pairs(number, t.column("side").to_numpy(), t.column("id").to_numpy(), sizes, sketch, least)
         if len(a):
@@ -312,12 +273,11 @@ def _expanded(pairs: DataFrame, members: DataFrame) -> DataFrame:
     return across.unionByName(within).select(F.least("a", "b").alias("key_a"), F.greatest("a", "b").alias("key_b"))
 
 
-QA = (Field("query", 0.60, 2), Field("answer", 0.60, 2))
-SOP = (Field("title", 0.70, 4),)
-QA_BANDS, SOP_BANDS = 14, 20
+QA = (Field("query", 0.60), Field("answer", 0.60))
+SOP = (Field("title", 0.70),)
 
 
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    qa = near_pairs(table(spark, sf_dir, "qa_units"), "qa_id", QA, QA_BANDS).select(F.lit("qa").alias("src"), "key_a", "key_b")
-    sop = near_pairs(table(spark, sf_dir, "sop_units"), "sop_id", SOP, SOP_BANDS).select(F.lit("sop").alias("src"), "key_a", "key_b")
+    qa = near_pairs(table(spark, sf_dir, "qa_units"), "qa_id", QA).select(F.lit("qa").alias("src"), "key_a", "key_b")
+    sop = near_pairs(table(spark, sf_dir, "sop_units"), "sop_id", SOP).select(F.lit("sop").alias("src"), "key_a", "key_b")
     return qa.unionByName(sop)
