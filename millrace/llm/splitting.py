@@ -23,10 +23,12 @@ BOUNDARIES = (
 _ASTRAL = r"[\x{10000}-\x{10FFFF}]"
 
 
-def core_pattern(limit: int) -> str:
-    """The pattern whose successive matches are cores of 1 to ``limit`` code points that cover the whole text."""
-    least = max(1, limit // 2)
-    ends = "|".join(f".{{{least},{limit}}}{b}" for b in BOUNDARIES)
+def core_pattern(limit: int, overlap_chars: int = 0) -> str:
+    """The pattern whose successive matches are cores of 1 to ``limit`` code points that cover the whole text.
+
+    A boundary in the second half of the limit is preferred; one before it, behind the overlap, still goes before none.
+    """
+    ends = "|".join(f".{{{least},{limit}}}{b}" for least in (max(1, limit // 2), max(1, overlap_chars)) for b in BOUNDARIES)
     return f"(?s)(?:.{{1,{limit}}}\\z|{ends}|.{{1,{limit}}})"
 
 
@@ -35,10 +37,10 @@ def cores(text: Column, max_chars: int, overlap_chars: int) -> Column:
     limit = max_chars - overlap_chars
     if overlap_chars < 0 or limit < 1 or overlap_chars > max(1, limit // 2):
         raise ValueError("overlap_chars must be at least 0 and at most a third of max_chars")
-    found = F.regexp_extract_all(text, F.lit(core_pattern(limit)), 0)
+    found = F.regexp_extract_all(text, F.lit(core_pattern(limit, overlap_chars)), 0)
     # java.util.regex recurses where a quantified atom changes its width, so supplementary characters are
     # searched as one private-use character each and the cores taken from the text by offset
-    shadow = F.regexp_extract_all(F.regexp_replace(text, _ASTRAL, ""), F.lit(core_pattern(limit)), 0)
+    shadow = F.regexp_extract_all(F.regexp_replace(text, _ASTRAL, ""), F.lit(core_pattern(limit, overlap_chars)), 0)
     zero = F.struct(F.lit(1).alias("at"), F.array().cast("array<struct<start:int,core:string>>").alias("all"))
     step = lambda acc, x: F.struct((acc["at"] + F.char_length(x)).cast("int").alias("at"), F.concat(acc["all"], F.array(F.struct(acc["at"].alias("start"), x.alias("core")))).alias("all"))
     by_offset = lambda x: F.struct(x["start"].alias("start"), F.substring(text, x["start"], F.char_length(x["core"])).alias("core"))
