@@ -1,0 +1,18 @@
+import sys
+from pathlib import Path
+
+sys.path.insert(0, str(Path(__file__).resolve().parents[2]))
+
+
+def test_early_boundary_before_a_long_run():
+    from pyspark.sql import SparkSession
+    from pyspark.sql import functions as F
+
+    from millrace.llm.splitting import cores
+
+    spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").getOrCreate()
+    text = "word. " * 5 + "x" * 300
+    got = [r["core"] for r in spark.createDataFrame([(text,)], "t string").select(cores(F.col("t"), 120, 20).alias("c")).first()["c"]]
+    spark.stop()
+    assert got[0] == "word. " * 5
+    assert "".join(got) == text and max(map(len, got)) <= 100
