@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from millrace.llm import defects, markup, mixing, neardup, packing, personal, repetition, splitting, tokens
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "p1_clean": markup.p1_clean,
     "p1_found": markup.p1_found,
     "p2_found": personal.p2_found,
     "p2_masked": personal.p2_masked,
