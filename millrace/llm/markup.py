@@ -64,7 +64,7 @@ LATEX = re.compile(
 KINDS = (("html", HTML), ("markdown", MARKDOWN), ("wiki", WIKI), ("latex", LATEX))
 
 
-_SET = frozenset(TAGS.split("|"))
+_SET = frozenset(TAGS.replace("h[1-6]", "h1|h2|h3|h4|h5|h6").split("|"))
 _TAG = re.compile(r"<!--.*?-->|<!--|-->|<!doctype[^<>]*>|<(?P<end>/?)(?P<tag>[A-Za-z][A-Za-z0-9]*)(?P<rest>(?:\s[^<>]*)?)/?>", re.S | re.I)
 _CLASS = re.compile(r"""\bclass\s*=\s*["']?([A-Za-z0-9_-]+)""", re.I)
 #: Elements without an end tag, and those that begin a line.
