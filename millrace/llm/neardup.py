@@ -1,12 +1,17 @@
-"""Near-duplicate records: a prefix filter that loses no pair, sketches, then an exact check.
+"""Near-duplicate records: BK-trees in the shards of a prefix filter that loses no pair, then an exact check.
 
 The similarity of two texts is that of their sets of distinct 3-character substrings. With one order of all
 substrings, rare ones first, two sets of similarity t share one of the first ``n - ceil(t * n) + 1`` of either; records
 are sharded by those of the first field, so every pair that is similar enough meets in a shard. Counts for the order
-are kept by hash in a table of fixed size: any order is right, a good one only makes the shards small. In a shard
-all pairs of fitting sizes are compared by 256-bit parity sketches of the first field: bit ``hash(gram) % 256`` is
-flipped once for every gram, so the Hamming distance of two sketches is at most the number of grams that only one of
-the records has, which a threshold bounds by the sizes of the sets. Pairs that pass are checked on their texts.
+are kept by hash in a table of fixed size: any order is right, a good one only makes the shards small.
+
+A record travels to its shards as a number; only in shards of two or more records it is joined with its sketches, 256 bits
+for each field: bit ``hash(gram) % 256`` is flipped once for every gram, so the Hamming distance of two sketches is at most
+the number of grams that only one of the records has, which a threshold bounds by the sizes of the sets. Each shard makes a
+BK-tree: children are keyed by their integer Hamming distance to the parent, and a search follows only the edges within
+the radius, which is that bound, so a tree loses no pair. Trees live in the task that searches them: those of all
+shards grow with the data and are never broadcast. A hot shard, whose exact count is above BLOCK, is cut into blocks, and
+each pair of blocks is a task's cell of its own. Pairs that pass are checked on their texts.
 """
 
 from __future__ import annotations
@@ -28,8 +33,8 @@ from millrace.session import cut, spread, table, text_batches
 WORDS = 4  # of 64 bits in a sketch
 #: Entries of the table of counts that orders the 3-character substrings.
 COUNTS = 1 << 16
-#: Rows of a block of a hot shard, and hot shards that are looked for: a shard that isn't found hot is searched whole in one task.
-BLOCK, MOST_HOT = 4096, 10_000
+#: Rows of a block of a hot shard, and records up to which a node of a BK-tree is a leaf.
+BLOCK, LEAF = 4096, 48
 _U = np.uint64
 _NOT_TEXT = re.compile(r"[\W_]+")
 
@@ -61,19 +66,23 @@ def mixed(x: np.ndarray) -> np.ndarray:
 
 
 def features(frame: dict[str, list], fields: Sequence[Field], counts: np.ndarray) -> tuple[np.ndarray, list[bytes], np.ndarray, np.ndarray, list[np.ndarray]]:
-    """Of the records whose fields all have grams: their positions, class digests, sizes, sketches and prefixes."""
+    """Of the records whose fields all have grams: their positions, class digests, sizes, sketches (of all fields) and prefixes."""
     texts = [[normal(t) for t in frame[f.name]] for f in fields]
     sets = [[grams(t) for t in col] for col in texts]
     kept = np.array([i for i in range(len(texts[0])) if all(len(col[i]) for col in sets)], np.int64)
     if not len(kept):
-        return kept, [], np.empty((0, len(fields)), np.int64), np.empty((0, WORDS), _U), []
+        return kept, [], np.empty((0, len(fields)), np.int64), np.empty((0, WORDS * len(fields)), _U), []
     digests = [hashlib.blake2b("\0".join(col[i] for col in texts).encode("utf-8", "surrogatepass"), digest_size=16).digest() for i in kept]
     sizes = np.array([[len(col[i]) for col in sets] for i in kept], np.int64)
-    hashed = mixed(np.concatenate([sets[0][i] for i in kept]) + _U(1))
-    at = np.repeat(np.arange(len(kept)) * WORDS * 64, sizes[:, 0]) + (hashed % _U(WORDS * 64)).astype(np.int64)
-    flips = (np.bincount(at, minlength=len(kept) * WORDS * 64) & 1).astype(bool).reshape(len(kept), -1)
-    keys = [prefix(h, fields[0].least, counts).view(np.int64) for h in np.split(hashed, np.cumsum(sizes[:, 0])[:-1])]
-    return kept, digests, sizes, np.packbits(flips, axis=1).view(_U), keys
+    sketches, keys = [], []
+    for f, col in enumerate(sets):
+        hashed = mixed(np.concatenate([col[i] for i in kept]) + _U(1))
+        at = np.repeat(np.arange(len(kept)) * WORDS * 64, sizes[:, f]) + (hashed % _U(WORDS * 64)).astype(np.int64)
+        flips = (np.bincount(at, minlength=len(kept) * WORDS * 64) & 1).astype(bool).reshape(len(kept), -1)
+        sketches.append(np.packbits(flips, axis=1).view(_U))
+        if f == 0:
+            keys = [(prefix(h, fields[0].least, counts) >> _U(32)).astype(np.uint32).view(np.int32) for h in np.split(hashed, np.cumsum(sizes[:, 0])[:-1])]
+    return kept, digests, sizes, np.concatenate(sketches, 1), keys
 
 
 def prefix(hashed: np.ndarray, least: float, counts: np.ndarray) -> np.ndarray:
@@ -82,46 +91,128 @@ def prefix(hashed: np.ndarray, least: float, counts: np.ndarray) -> np.ndarray:
     return hashed[np.lexsort((hashed, counts[(hashed % _U(COUNTS)).astype(np.int64)]))[:n]]
 
 
+class BKTree:
+    """A BK-tree over sketches, whose nodes are rows of ``words``: children by their distance to the parent, leaves of few rows.
+
+    Rows at distance 0 of a node stay with it, so equal sketches make no chain.
+    """
+
+    def __init__(self, words: np.ndarray, rows: np.ndarray, bound: np.ndarray):
+        self.words, self.bound = words, bound
+        self.most = float(bound[rows].max())
+        self.children: list[tuple[int, BKTree]] = []
+        self.pivot, self.rows = -1, rows
+        if len(rows) > LEAF:
+            d = np.bitwise_count(words[rows] ^ words[rows[0]]).sum(axis=1)
+            self.pivot, self.rows = int(rows[0]), rows[d == 0]
+            order = np.argsort(d, kind="stable")
+            order = order[np.searchsorted(d[order], 1) :]
+            edges = np.nonzero(np.diff(d[order]))[0] + 1
+            self.children = [(int(d[part[0]]), BKTree(words, rows[part], bound)) for part in np.split(order, edges) if len(part)]
+
+    def search(self, queries: np.ndarray, found: list[tuple[np.ndarray, np.ndarray]]) -> None:
+        """All (query, row) whose distance is at most the sum of their bounds."""
+        w, bound = self.words, self.bound
+        if self.pivot < 0:
+            d = np.bitwise_count(w[queries][:, None, :] ^ w[self.rows][None, :, :]).sum(axis=2)
+            i, j = np.nonzero(d <= bound[queries][:, None] + bound[self.rows][None, :] + 1e-9)
+            found.append((queries[i], self.rows[j]))
+            return
+        d = np.bitwise_count(w[queries] ^ w[self.pivot]).sum(axis=1).astype(np.float64)
+        i, j = np.nonzero(d[:, None] <= bound[queries][:, None] + bound[self.rows][None, :] + 1e-9)
+        found.append((queries[i], self.rows[j]))
+        for edge, child in self.children:
+            within = np.abs(d - edge) <= bound[queries] + child.most + 1e-9
+            if within.any():
+                child.search(queries[within], found)
+
+
 def shard_pairs(shard: np.ndarray, side: np.ndarray, ids: np.ndarray, sizes: np.ndarray, sketch: np.ndarray, least: Sequence[float]) -> tuple[np.ndarray, np.ndarray]:
     """Pairs of ids within a shard that the sizes and the sketches don't exclude.
 
-    ``shard`` is sorted. ``side`` is 0, or tells the two blocks of a cell of a hot shard apart (1 and 2), of which only pairs across are asked for.
+    ``side`` is 0, or tells the two blocks of a cell of a hot shard apart (1 and 2), of which only pairs across are asked for.
     """
-    order = np.lexsort((sizes[:, 0], shard))
+    order = np.argsort(shard, kind="stable")
     shard, side, ids, sizes, sketch = shard[order], side[order], ids[order], sizes[order], sketch[order]
-    words = [np.ascontiguousarray(sketch[:, w]) for w in range(sketch.shape[1])]
-    share = (1 - least[0]) / (1 + least[0])
-    bound = share * sizes[:, 0]
-    left, right = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+    bounds = [(1 - t) / (1 + t) * sizes[:, f] for f, t in enumerate(least)]
+    words = [np.ascontiguousarray(sketch[:, f * WORDS : (f + 1) * WORDS]) for f in range(len(least))]
+    found: list[tuple[np.ndarray, np.ndarray]] = []
     edges = np.concatenate([[0], np.nonzero(np.diff(shard))[0] + 1, [len(shard)]])
-    for begin, end in zip(edges[:-1].tolist(), edges[1:].tolist()):
-        for lo in range(begin, end, 256):
-            hi = min(lo + 256, end)
-            top = begin + int(np.searchsorted(sizes[begin:end, 0], sizes[hi - 1, 0] / least[0] + 1e-9, "right"))
-            d = np.zeros((hi - lo, top - lo), np.uint16)
-            for w in words:
-                d += np.bitwise_count(w[lo:hi, None] ^ w[None, lo:top])
-            # cheap bound of the block first, then that of each pair
-            i, j = np.nonzero(d <= np.uint16(min(bound[hi - 1] + bound[top - 1] + 1e-9, 65535)))
-            ok = (j > i) & (d[i, j] <= bound[lo + i] + bound[lo + j] + 1e-9)
-            i, j = lo + i[ok], lo + j[ok]
-            ok = (side[i] == 0) | (side[i] != side[j])
-            for f, t in enumerate(least):
-                x, y = sizes[i, f], sizes[j, f]
-                ok &= np.minimum(x, y) + 1e-9 >= t * np.maximum(x, y)
-            left.append(np.minimum(ids[i[ok]], ids[j[ok]])), right.append(np.maximum(ids[i[ok]], ids[j[ok]]))
-    return np.concatenate(left), np.concatenate(right)
+    length = np.diff(edges)
+    # shards of equal small numbers of records are leaves that are searched together
+    for n in np.unique(length[(length > 1) & (length <= LEAF)]).tolist():
+        begin = edges[:-1][length == n]
+        i, j = np.triu_indices(n, 1)
+        step = max(1, 2_000_000 // len(i))
+        for k in range(0, len(begin), step):
+            a, b = (begin[k : k + step, None] + i).ravel(), (begin[k : k + step, None] + j).ravel()
+            ok = np.bitwise_count(words[0][a] ^ words[0][b]).sum(axis=1) <= bounds[0][a] + bounds[0][b] + 1e-9
+            found.append((a[ok], b[ok]))
+    for begin, end in zip(edges[:-1][length > LEAF].tolist(), edges[1:][length > LEAF].tolist()):
+        rows = np.arange(begin, end)
+        of_tree, asking = (rows, rows) if not side[begin:end].any() else (rows[side[begin:end] == 1], rows[side[begin:end] == 2])
+        if not len(of_tree) or not len(asking):
+            continue
+        tree = BKTree(words[0], of_tree, bounds[0])
+        for k in range(0, len(asking), 512):
+            hits: list[tuple[np.ndarray, np.ndarray]] = []
+            tree.search(asking[k : k + 512], hits)
+            a, b = (np.concatenate(x) for x in zip(*hits))
+            keep = (a < b) | (side[a] != side[b])
+            found.append(_fitting(a[keep], b[keep], side, sizes, words, bounds, least))
+    if not found:
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    a, b = _fitting(*(np.concatenate(x) for x in zip(*found)), side, sizes, words, bounds, least)
+    return np.minimum(ids[a], ids[b]), np.maximum(ids[a], ids[b])
+
+
+def _fitting(a: np.ndarray, b: np.ndarray, side: np.ndarray, sizes: np.ndarray, words: list[np.ndarray], bounds: list[np.ndarray], least: Sequence[float]) -> tuple[np.ndarray, np.ndarray]:
+    """The pairs of rows that no size and no sketch of another field excludes."""
+    ok = (side[a] == 0) | (side[a] != side[b])
+    for f, t in enumerate(least):
+        x, y = sizes[a, f], sizes[b, f]
+        ok &= np.minimum(x, y) + 1e-9 >= t * np.maximum(x, y)
+    a, b = a[ok], b[ok]
+    for w, bound in zip(words[1:], bounds[1:]):
+        ok = np.bitwise_count(w[a] ^ w[b]).sum(axis=1) <= bound[a] + bound[b] + 1e-9
+        a, b = a[ok], b[ok]
+    return a, b
 
 
 # --- Spark ---
 
 
-def near_pairs(df: DataFrame, key: str, fields: Sequence[Field]) -> DataFrame:
-    """key_a, key_b (key_a < key_b): the pairs of records that are similar enough in every field.
-
-    Fields that have no 3-character substring after normalisation are like no other: such a record is in no pair, as
-    is a null one. ``key`` must be a unique long that isn't null. Records with equal normalised texts form a class; one of
-    each class is sharded and searched, and its members get its pairs back in the end, besides those among themselves.
+@dataclass(frozen=True)
+class Near:
+    """``members``: id, cls of every record that has grams. ``pairs``: a, b (a < b), representatives of similar classes."""
+
+    members: DataFrame
+    pairs: DataFrame
+
+    def expanded(self) -> DataFrame:
+        """key_a, key_b (key_a < key_b) of all records, the members of a class being similar to each other."""
+        left = self.members.select(F.col("id").alias("a"), F.col("cls").alias("ca"))
+        right = self.members.select(F.col("id").alias("b"), F.col("cls").alias("cb"))
+        by_class = self.pairs.join(left, "a").join(right, "b").select("ca", "cb")
+        across = by_class.join(left, "ca").join(right, "cb").select("a", "b")
+        within = left.join(right, (left["ca"] == right["cb"]) & (left["a"] < right["b"])).select("a", "b")
+        return across.unionByName(within).select(F.least("a", "b").alias("key_a"), F.greatest("a", "b").alias("key_b"))
+
+    def classes(self) -> DataFrame:
+        """key, class_id (the least key of its class of equal texts), copies (records of the class) and links (other classes that are similar)."""
+        size = self.members.groupBy("cls").agg(F.min("id").alias("class_id"), F.count("*").alias("copies"))
+        links = self.pairs.select(F.explode(F.array("a", "b")).alias("class_id")).groupBy("class_id").agg(F.count("*").alias("links"))
+        told = size.join(links, "class_id", "left").select("cls", "class_id", "copies", F.coalesce("links", F.lit(0)).alias("links"))
+        return self.members.join(told, "cls").select(F.col("id").alias("key"), "class_id", "copies", "links")
+
+
+def near(df: DataFrame, key: str, fields: Sequence[Field]) -> Near:
+    """The classes of equal records and the pairs of classes that are similar enough in every field.
+
+    Fields that have no 3-character substring after normalisation are like no other: such a record is in no class, as
+    is one with a null. ``key`` must be a unique long that isn't null; other columns of ``df`` are ignored. Records with equal
+    normalised texts form a class, of which the one of least key is sharded and searched, so a group of copies costs no
+    more than one record. Jobs run when this is called: the counts of substrings, features and candidates are written.
     """
     spark = df.sparkSession
     text_batches(spark)
@@ -136,16 +227,23 @@ def near_pairs(df: DataFrame, key: str, fields: Sequence[Field]) -> DataFrame:
             if len(kept):
                 ids = b.column("_k").to_numpy(zero_copy_only=False)[kept]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids), pa.array(digests, pa.binary()), pa.array(_packed(sizes)), pa.array([r.tobytes() for r in sketch], pa.binary()), pa.array(keys, pa.list_(pa.int64()))], names=["id", "cls", "sizes", "sketch", "bands"]
+                    [pa.array(ids), pa.array(digests, pa.binary()), pa.array(_packed(sizes)), pa.array([r.tobytes() for r in sketch], pa.binary()), pa.array(keys, pa.list_(pa.int32()))],
+                    names=["id", "cls", "sizes", "sketch", "shards"],
                 )
 
-    featured_rows = cut(spread(source).mapInArrow(featured, "id long, cls binary, sizes long, sketch binary, bands array<long>"), "features")
-    classes = featured_rows.groupBy("cls").agg(F.min(F.struct("id", "sizes", "sketch", "bands")).alias("one")).select("one.*")
-    hot = _hot(featured_rows)
-    rows = classes.select(F.explode("bands").alias("shard"), "id", "sizes", "sketch")
-    candidates = _cells(rows, hot).mapInArrow(_searcher(len(fields), least), "a long, b long").distinct()
-    pairs = _verified(candidates, source, fields)
-    return _expanded(pairs, featured_rows.select("id", "cls"))
+    rows = cut(spread(source).mapInArrow(featured, "id long, cls binary, sizes long, sketch binary, shards array<int>"), "features")
+    members = rows.select("id", "cls")
+    first = members.groupBy("cls").agg(F.min("id").alias("id"))
+    placed = rows.select("id", F.explode("shards").alias("shard")).join(first.select("id"), "id", "left_semi")
+    shared = placed.groupBy("shard").agg(F.count("*").alias("n")).where("n > 1")
+    met = placed.join(shared, "shard").join(rows.select("id", "sizes", "sketch"), "id")
+    found = _cells(met).mapInArrow(_searcher(len(fields), least), "a long, b long").distinct()
+    return Near(members, cut(_verified(found, source, fields), "near"))
+
+
+def near_pairs(df: DataFrame, key: str, fields: Sequence[Field]) -> DataFrame:
+    """key_a, key_b (key_a < key_b) of all records that are similar enough in every field."""
+    return near(df, key, fields).expanded()
 
 
 def _counts(source: DataFrame, name: str) -> np.ndarray:
@@ -171,26 +269,14 @@ def _packed(sizes: np.ndarray) -> np.ndarray:
     return sizes[:, 0] if sizes.shape[1] == 1 else sizes[:, 0] | sizes[:, 1] << 31
 
 
-def _hot(featured_rows: DataFrame) -> dict[int, int]:
-    """Shards of more than BLOCK records, with the number of their blocks; one mergeable sketch of fixed size over all records."""
-    top = featured_rows.select(F.explode("bands").alias("shard")).agg(F.expr(f"approx_top_k(shard, {MOST_HOT}, {MOST_HOT * 10})").alias("t")).first()["t"] or []
-    return {r["item"]: -(-r["count"] // BLOCK) for r in top if r["count"] > BLOCK}
-
-
-def _cells(rows: DataFrame, hot: dict[int, int]) -> DataFrame:
-    """Rows by cell, sorted. A usual shard is one cell; a hot one is a triangle of cells for pairs of its blocks, over many tasks."""
-    spark = rows.sparkSession
-    if hot:
-        blocks = F.broadcast(spark.createDataFrame(list(hot.items()), "shard long, blocks int"))  # at most MOST_HOT rows
-        own = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
-        rows = rows.join(blocks, "shard", "left").withColumn("own", F.coalesce(own, F.lit(0)))
-        rows = rows.withColumn("other", F.explode(F.when(F.col("blocks").isNull(), F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), F.col("blocks") - 1))))
-        side = F.when(F.col("own") == F.col("other"), 0).when(F.col("own") < F.col("other"), 1).otherwise(2)
-        rows = rows.select(F.xxhash64("shard", F.least("own", "other"), F.greatest("own", "other")).alias("cell"), side.cast("int").alias("side"), "id", "sizes", "sketch")
-        rows = rows.withColumn("side", F.col("side"))
-    else:
-        rows = rows.select(F.col("shard").alias("cell"), F.lit(0).alias("side"), "id", "sizes", "sketch")
-    return rows.repartition("cell").sortWithinPartitions("cell")
+def _cells(met: DataFrame) -> DataFrame:
+    """Rows by cell, sorted. A usual shard is one cell; one of n > BLOCK records is a triangle of cells for pairs of its blocks, over many tasks."""
+    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+    own = F.pmod(F.xxhash64("id"), blocks).cast("int")
+    rows = met.select("shard", "id", "sizes", "sketch", own.alias("own"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
+    side = F.when(F.col("own") == F.col("other"), 0).when(F.col("own") < F.col("other"), 1).otherwise(2)
+    cell = F.xxhash64("shard", F.least("own", "other"), F.greatest("own", "other"))
+    return rows.select(cell.alias("cell"), side.cast("int").alias("side"), "id", "sizes", "sketch").repartition("cell").sortWithinPartitions("cell")
 
 
 def _searcher(width: int, least: Sequence[float]):
@@ -228,7 +314,7 @@ def _searcher(width: int, least: Sequence[float]):
         _, number = np.unique(number[keep], return_inverse=True)
         packed = t.column("sizes").to_numpy()
         sizes = np.stack([packed >> 31 * f & (1 << 31) - 1 for f in range(width)], 1)
-        sketch = np.frombuffer(b"".join(t.column("sketch").to_pylist()), _U).reshape(-1, WORDS)
+        sketch = np.frombuffer(b"".join(t.column("sketch").to_pylist()), _U).reshape(-1, WORDS * width)
         a, b = shard_pairs(number, t.column("side").to_numpy(), t.column("id").to_numpy(), sizes, sketch, least)
         if len(a):
             yield pa.RecordBatch.from_pandas(pd.DataFrame({"a": a, "b": b}).drop_duplicates(), preserve_index=False)
@@ -248,9 +334,13 @@ def _verified(candidates: DataFrame, source: DataFrame, fields: Sequence[Field])
             ta, tb = batch.column("ta"), batch.column("tb")
             ok = np.ones(batch.num_rows, bool)
             for f in fields:
-                for i, (x, y) in enumerate(zip(ta.field(f.name).to_pylist(), tb.field(f.name).to_pylist())):
+                xs, ys = ta.field(f.name).to_pylist(), tb.field(f.name).to_pylist()
+                sets = {t: set(grams(normal(t)).tolist()) for t in {*xs, *ys}}  # each text of a batch once
+                for i, (x, y) in enumerate(zip(xs, ys)):
                     if ok[i]:
-                        ok[i] = similarity(x, y) >= f.least
+                        x, y = sets[x], sets[y]
+                        both = len(x & y)
+                        ok[i] = both >= f.least * (len(x) + len(y) - both) and both > 0
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(ok))
 
     return both.mapInArrow(check, "a long, b long")
@@ -263,16 +353,6 @@ def similarity(x: str | None, y: str | None) -> float:
     return shared / (len(a) + len(b) - shared) if len(a) + len(b) else 0.0
 
 
-def _expanded(pairs: DataFrame, members: DataFrame) -> DataFrame:
-    """Pairs between representatives, and classes of equal records, as pairs of records."""
-    left = members.select(F.col("id").alias("a"), F.col("cls").alias("ca"))
-    right = members.select(F.col("id").alias("b"), F.col("cls").alias("cb"))
-    by_class = pairs.join(left, "a").join(right, "b").select("ca", "cb")
-    across = by_class.join(left, "ca").join(right, "cb").select("a", "b")
-    within = left.join(right, (left["ca"] == right["cb"]) & (left["a"] < right["b"])).select("a", "b")
-    return across.unionByName(within).select(F.least("a", "b").alias("key_a"), F.greatest("a", "b").alias("key_b"))
-
-
 QA = (Field("query", 0.60), Field("answer", 0.60))
 SOP = (Field("title", 0.70),)
 
@@ -281,3 +361,10 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     qa = near_pairs(table(spark, sf_dir, "qa_units"), "qa_id", QA).select(F.lit("qa").alias("src"), "key_a", "key_b")
     sop = near_pairs(table(spark, sf_dir, "sop_units"), "sop_id", SOP).select(F.lit("sop").alias("src"), "key_a", "key_b")
     return qa.unionByName(sop)
+
+
+def p5_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """src, key, class_id, copies, links of every record: its class of equal texts and the other classes it is similar to."""
+    qa = near(table(spark, sf_dir, "qa_units"), "qa_id", QA).classes().select(F.lit("qa").alias("src"), "*")
+    sop = near(table(spark, sf_dir, "sop_units"), "sop_id", SOP).classes().select(F.lit("sop").alias("src"), "*")
+    return qa.unionByName(sop)

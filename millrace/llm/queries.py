@@ -15,6 +15,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p2_masked": personal.p2_masked,
     "p3_found": defects.p3_found,
     "p4_batches": packing.p4_batches,
+    "p5_classes": neardup.p5_classes,
     "p5_found": neardup.p5_found,
     "p7_found": splitting.p7_found,
     "p7_pieces": splitting.p7_pieces,
