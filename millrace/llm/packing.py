@@ -18,8 +18,9 @@ from pyspark.sql import functions as F
 from millrace.llm.splitting import budget
 from millrace.session import cut, table
 
-#: Items of one shard, and shards whose remainders are packed together: both bound a task, neither drops an item.
-SHARD_ITEMS, MERGED_SHARDS = 25_000, 512
+#: Items that are packed in one task, and tasks whose low containers are packed together. Both bound a task, neither drops an
+#: item; a smaller number costs fill, as each task ends with some containers that are partially filled.
+SHARD_ITEMS, MERGED_SHARDS = 10_000, 512
 
 
 def sum_of_squares(sizes: np.ndarray, capacity: int) -> np.ndarray:
@@ -58,15 +59,19 @@ def sum_of_squares(sizes: np.ndarray, capacity: int) -> np.ndarray:
     return placed
 
 
-def pack(df: DataFrame, key: str, size: str, capacity: int) -> DataFrame:
+def pack(df: DataFrame, key: str, size: str, capacity: int, shard_items: int = SHARD_ITEMS, merged_shards: int = MERGED_SHARDS) -> DataFrame:
     """``key``, part_no, chars, batch_id: the batch of every item of at least one unit of size.
 
     An item larger than ``capacity`` is divided into full parts, which fill batches of their own, and a rest; no other
-    item is divided. Sizes of null or below 1 need no place and give no row. Keys should be unique: a repeated row is
-    an item of its own, in the same shard as its equals, and a null key is a key. Only keys and sizes are moved, never texts.
+    item is divided. Sizes of null or below 1 need no place and give no row, an empty table none. Keys should be unique: a
+    repeated row is an item of its own, in the same shard as its equals, and a null key is a key; other columns of ``df`` are
+    ignored. Only keys and sizes are moved, never texts. Jobs run when this is called: items and first containers are written.
+
+    Containers at most half full are packed once more, those of ``merged_shards`` shards in one task, until they are few
+    enough for one task or no round merges any more.
     """
     items = cut(df.select(F.col(key).alias("k"), F.col(size).cast("long").alias("n")).where(F.col("n") >= 1), "items")
-    shards = max(1, -(-items.count() // SHARD_ITEMS))
+    shards = max(1, -(-items.count() // shard_items))
     parts = items.select("k", F.explode(F.sequence(F.lit(0), F.floor((F.col("n") - 1) / capacity).cast("int"))).alias("part"), "n").select(
         "k", "part", F.least(F.lit(capacity), F.col("n") - F.col("part") * F.lit(capacity).cast("long")).cast("int").alias("chars")
     )
@@ -79,22 +84,53 @@ def pack(df: DataFrame, key: str, size: str, capacity: int) -> DataFrame:
         pdf["fill"] = pdf.groupby("bin")["chars"].transform("sum")
         return pdf
 
-    packed = cut(parts.groupBy("shard").applyInPandas(first, f"k {kind}, part int, chars int, shard int, bin long, fill long"), "packed")
-    low = packed.where(F.col("fill") * 2 <= capacity).groupBy("bin").agg(F.first("fill").alias("fill"), (F.first("shard") / MERGED_SHARDS).cast("int").alias("g"))
-
     def again(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("bin", kind="stable")
         into = sum_of_squares(pdf["fill"].to_numpy(), capacity)
-        first_bin = pd.Series(pdf["bin"].to_numpy()).groupby(into).transform("min")
-        return pd.DataFrame({"bin": pdf["bin"].to_numpy(), "to": first_bin.to_numpy()})
-
-    moved = low.groupBy("g").applyInPandas(again, "bin long, to long").where("bin <> to")
-    out = packed.join(moved, "bin", "left")
+        by = pd.Series(into)
+        return pd.DataFrame({"bin": pdf["bin"].to_numpy(), "to": pd.Series(pdf["bin"].to_numpy()).groupby(by).transform("min"), "sum": pd.Series(pdf["fill"].to_numpy()).groupby(by).transform("sum")})
+
+    # a given number of partitions, so that small shards aren't gathered in one task; twice as many, as their hashes may meet
+    placed = parts.repartition(2 * shards, "shard").groupBy("shard").applyInPandas(first, f"k {kind}, part int, chars int, shard int, bin long, fill long")
+    packed = cut(placed, "packed")
+    low = packed.where(F.col("fill") * 2 <= capacity).groupBy("bin").agg(F.first("fill").alias("fill"), F.first("shard").alias("shard"))
+    moves = None
+    while True:
+        groups = max(1, -(-shards // merged_shards))
+        ways = low.withColumn("g", (F.col("shard") / merged_shards).cast("int")).repartition(2 * groups, "g").groupBy("g").applyInPandas(again, "bin long, to long, sum long")
+        ways = cut(ways, "merged")
+        moves = ways.select("bin", "to") if moves is None else moves.join(ways.select(F.col("bin").alias("to"), F.col("to").alias("next")), "to", "left").select("bin", F.coalesce("next", "to").alias("to"))
+        if groups == 1:
+            break
+        low = ways.where((F.col("bin") == F.col("to")) & (F.col("sum") * 2 <= capacity)).select("bin", F.col("sum").alias("fill"), (F.shiftright("bin", 32) / merged_shards).cast("int").alias("shard"))
+        shards = groups
+        if low.isEmpty():
+            break
+    out = packed.join(moves.where("bin <> to"), "bin", "left")
     return out.select(F.col("k").alias(key), F.col("part").alias("part_no"), "chars", F.coalesce("to", "bin").alias("batch_id"))
 
 
+def _sections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    body = F.col("body")
+    return table(spark, sf_dir, "sections").where(body.rlike(r"(?U)\S")).select("section_id", F.char_length(body).alias("chars"))
+
+
 def p4_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A batch for every section with a non-blank body."""
-    body = F.col("body")
-    sections = table(spark, sf_dir, "sections").where(body.rlike(r"(?U)\S")).select("section_id", F.char_length(body).alias("chars"))
-    return pack(sections, "section_id", "chars", budget(spark, sf_dir, "extract_batch")[0])
+    return pack(_sections(spark, sf_dir), "section_id", "chars", budget(spark, sf_dir, "extract_batch")[0])
+
+
+def p4_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """section_id, parts, chars and fits (no batch of the section is over its capacity): what the batches hold of each section."""
+    capacity = budget(spark, sf_dir, "extract_batch")[0]
+    batches = cut(p4_batches(spark, sf_dir), "batches")
+    fill = batches.groupBy("batch_id").agg(F.sum("chars").alias("fill"))
+    told = batches.join(fill, "batch_id").groupBy("section_id")
+    return told.agg(F.count("*").alias("parts"), F.sum("chars").alias("chars"), (F.max("fill") <= capacity).alias("fits"))
+
+
+P4_SECTIONS_SQL = """
+SELECT section_id, CAST(ceil(length(body) / CAST((SELECT max_chars FROM size_budgets WHERE budget_name = 'extract_batch') AS DOUBLE)) AS BIGINT) AS parts,
+  CAST(length(body) AS BIGINT) AS chars, true AS fits
+FROM sections WHERE regexp_matches(body, '[^\\s\\p{Z}\\x{85}\\x{1c}-\\x{1f}]')
+"""

@@ -15,10 +15,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p2_masked": personal.p2_masked,
     "p3_found": defects.p3_found,
     "p4_batches": packing.p4_batches,
+    "p4_sections": packing.p4_sections,
     "p5_classes": neardup.p5_classes,
     "p5_found": neardup.p5_found,
     "p7_found": splitting.p7_found,
     "p7_pieces": splitting.p7_pieces,
+    "p7_rebuilt": splitting.p7_rebuilt,
     "p8_ids": tokens.p8_ids,
     "p9_mix": mixing.p9_mix,
     "p9_shares": mixing.p9_shares,
@@ -26,4 +28,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p10_shares": repetition.p10_shares,
 }
 
-SQL: dict[str, str] = {"p7_found": splitting.P7_FOUND_SQL}
+SQL: dict[str, str] = {"p4_sections": packing.P4_SECTIONS_SQL, "p7_found": splitting.P7_FOUND_SQL, "p7_rebuilt": splitting.P7_REBUILT_SQL}

@@ -2,7 +2,8 @@
 
 One pattern cuts a text into cores of at most ``max_chars - overlap_chars`` characters. Its alternatives are
 ordered by the strength of the boundary they end at, and each takes as much as the limit allows; the last
-takes the limit itself. A piece is its core behind the last ``overlap_chars`` characters of the core before.
+takes the limit itself. What stands in a fenced code block is hidden from them, so no boundary lies in code; only where
+there is none outside, the end of a line of code serves before the limit does. A piece is its core behind the last ``overlap_chars`` characters of the core before.
 """
 
 from __future__ import annotations
@@ -21,36 +22,41 @@ BOUNDARIES = (
     r"(?<=[\s，、,])",
 )
 _ASTRAL = r"[\x{10000}-\x{10FFFF}]"
+#: Private-use characters that stand for a supplementary character, and for a line end and another character of code.
+_WIDE, _CODE_END, _CODE = "\ue000", "\ue001", "\ue002"
 
 
 def core_pattern(limit: int, overlap_chars: int = 0) -> str:
     """The pattern whose successive matches are cores of 1 to ``limit`` code points that cover the whole text.
 
-    A boundary in the second half of the limit is preferred; one before it, behind the overlap, still goes before none.
+    A boundary in the second half of the limit is preferred, then one before it, behind the overlap; then the end of a line
+    of code, and then none.
     """
-    ends = "|".join(f".{{{least},{limit}}}{b}" for least in (max(1, limit // 2), max(1, overlap_chars)) for b in BOUNDARIES)
+    halves = (max(1, limit // 2), max(1, overlap_chars))
+    ends = "|".join([*(f".{{{least},{limit}}}{b}" for least in halves for b in BOUNDARIES), *(f".{{{least},{limit}}}(?<={_CODE_END})" for least in halves)])
     return f"(?s)(?:.{{1,{limit}}}\\z|{ends}|.{{1,{limit}}})"
 
 
+def shadow(text: Column) -> Column:
+    """The text with one character for each code point, and the inside of fenced code hidden; an unclosed fence ends with the text.
+
+    java.util.regex recurses where a quantified atom changes its width, so supplementary characters are replaced too.
+    """
+    parts = F.split(F.concat(F.lit("\n"), F.regexp_replace(text, _ASTRAL, _WIDE)), "(?m)(?=^ {0,3}(?:```|~~~))")
+    hidden = lambda x: F.regexp_replace(F.regexp_replace(x, r"[^\n]", _CODE), r"\n", _CODE_END)
+    return F.substring(F.array_join(F.transform(parts, lambda x, i: F.when(i % 2 == 1, hidden(x)).otherwise(x)), ""), 2, 2**31 - 1)
+
+
 def cores(text: Column, max_chars: int, overlap_chars: int) -> Column:
     """Array of struct(start, core); one core for a text of at most ``max_chars``, null for null."""
     limit = max_chars - overlap_chars
     if overlap_chars < 0 or limit < 1 or overlap_chars > max(1, limit // 2):
         raise ValueError("overlap_chars must be at least 0 and at most a third of max_chars")
-    found = F.regexp_extract_all(text, F.lit(core_pattern(limit, overlap_chars)), 0)
-    # java.util.regex recurses where a quantified atom changes its width, so supplementary characters are
-    # searched as one private-use character each and the cores taken from the text by offset
-    shadow = F.regexp_extract_all(F.regexp_replace(text, _ASTRAL, ""), F.lit(core_pattern(limit, overlap_chars)), 0)
-    zero = F.struct(F.lit(1).alias("at"), F.array().cast("array<struct<start:int,core:string>>").alias("all"))
-    step = lambda acc, x: F.struct((acc["at"] + F.char_length(x)).cast("int").alias("at"), F.concat(acc["all"], F.array(F.struct(acc["at"].alias("start"), x.alias("core")))).alias("all"))
-    by_offset = lambda x: F.struct(x["start"].alias("start"), F.substring(text, x["start"], F.char_length(x["core"])).alias("core"))
+    sizes = F.transform(F.regexp_extract_all(shadow(text), F.lit(core_pattern(limit, overlap_chars)), 0), lambda x: F.char_length(x))
+    ends = F.transform(sizes, lambda x, i: F.struct(x.alias("size"), F.aggregate(F.slice(sizes, 1, i), F.lit(1), lambda acc, y: acc + y).alias("start")))
+    pieces = F.transform(ends, lambda x: F.struct(x["start"].alias("start"), F.substring(text, x["start"], x["size"]).alias("core")))
     whole = F.array(F.struct(F.lit(1).alias("start"), text.alias("core")))
-    return (
-        F.when(text.isNull(), F.lit(None))
-        .when(F.char_length(text) <= max_chars, whole)
-        .when(text.rlike(_ASTRAL), F.transform(F.aggregate(shadow, zero, step)["all"], by_offset))
-        .otherwise(F.aggregate(found, zero, step)["all"])
-    )
+    return F.when(text.isNull(), F.lit(None)).when(F.char_length(text) <= max_chars, whole).otherwise(pieces)
 
 
 def split_text(df: DataFrame, text: str, max_chars: int, overlap_chars: int = 0) -> DataFrame:
@@ -87,6 +93,19 @@ def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p7_pieces(spark, sf_dir).where((F.col("pieces") > 1) & (F.col("piece_no") == 1)).select("section_id")
 
 
+def p7_rebuilt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """section_id, chars and digest of each section, from its pieces less their overlap, and whether every piece fits."""
+    limit, overlap = budget(spark, sf_dir, "section_split")
+    pieces = p7_pieces(spark, sf_dir).withColumn("core", F.when(F.col("piece_no") == 1, F.col("piece")).otherwise(F.substring("piece", overlap + 1, 2**31 - 1)))
+    by = pieces.groupBy("section_id").agg(F.array_sort(F.collect_list(F.struct("piece_no", "core"))).alias("p"), (F.max(F.char_length("piece")) <= limit).alias("fits"))
+    body = F.array_join(F.col("p.core"), "")
+    return by.select("section_id", F.char_length(body).cast("long").alias("chars"), F.md5(F.encode(body, "UTF-8")).alias("digest"), "fits")
+
+
+P7_REBUILT_SQL = """
+SELECT section_id, CAST(length(body) AS BIGINT) AS chars, md5(body) AS digest, true AS fits FROM sections WHERE body IS NOT NULL
+"""
+
 P7_FOUND_SQL = """
 SELECT section_id FROM sections
 WHERE length(body) > (SELECT max_chars FROM size_budgets WHERE budget_name = 'section_split')
