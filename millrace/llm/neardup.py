@@ -1,17 +1,18 @@
-"""Near-duplicate records: BK-trees in the shards of a prefix filter that loses no pair, then an exact check.
+"""Near-duplicate records: a prefix filter that loses no pair, sketches, then an exact check.
 
 The similarity of two texts is that of their sets of distinct 3-character substrings. With one order of all
 substrings, rare ones first, two sets of similarity t share one of the first ``n - ceil(t * n) + 1`` of either; records
-are sharded by those of the first field, so every pair that is similar enough meets in a shard. Counts for the order
-are kept by hash in a table of fixed size: any order is right, a good one only makes the shards small.
-
-A record travels to its shards as a number; only in shards of two or more records it is joined with its sketches, 256 bits
-for each field: bit ``hash(gram) % 256`` is flipped once for every gram, so the Hamming distance of two sketches is at most
-the number of grams that only one of the records has, which a threshold bounds by the sizes of the sets. Each shard makes a
-BK-tree: children are keyed by their integer Hamming distance to the parent, and a search follows only the edges within
-the radius, which is that bound, so a tree loses no pair. Trees live in the task that searches them: those of all
-shards grow with the data and are never broadcast. A hot shard, whose exact count is above BLOCK, is cut into blocks, and
-each pair of blocks is a task's cell of its own. Pairs that pass are checked on their texts.
+are sharded by those of the first field, so every pair that is similar enough meets in the shard of its first shared one.
+Counts for the order are kept by hash in a table of fixed size: any order is right, a good one only makes the shards small.
+
+In a shard, sizes and positions bound what a pair can share: sets of n and m that are similar enough share
+``t / (1 + t) * (n + m)``, and if their first shared substring stands at position i of one of them, at most ``n - i``. Sorted by
+size, the partners of a record are one range. Those left are compared by 256-bit parity sketches of the first field: bit
+``hash(gram) % 256`` is flipped once for every gram, so the Hamming distance of two sketches is at most the number of grams
+that only one of the records has, which a threshold bounds by the sizes. Pairs that pass are checked on their texts.
+
+Shards are counted exactly: one of more than BLOCK records is cut into blocks, and each pair of blocks is a cell for a
+task of its own. BK-trees over the sketches were tried for the search of a shard and given up: the README has the figures.
 """
 
 from __future__ import annotations
@@ -33,8 +34,8 @@ from millrace.session import cut, spread, table, text_batches
 WORDS = 4  # of 64 bits in a sketch
 #: Entries of the table of counts that orders the 3-character substrings.
 COUNTS = 1 << 16
-#: Rows of a block of a hot shard, and records up to which a node of a BK-tree is a leaf.
-BLOCK, LEAF = 4096, 48
+#: Records of a block of a hot shard, and pairs that are compared at once.
+BLOCK, AT_ONCE = 4096, 1_000_000
 _U = np.uint64
 _NOT_TEXT = re.compile(r"[\W_]+")
 
@@ -66,23 +67,19 @@ def mixed(x: np.ndarray) -> np.ndarray:
 
 
 def features(frame: dict[str, list], fields: Sequence[Field], counts: np.ndarray) -> tuple[np.ndarray, list[bytes], np.ndarray, np.ndarray, list[np.ndarray]]:
-    """Of the records whose fields all have grams: their positions, class digests, sizes, sketches (of all fields) and prefixes."""
+    """Of the records whose fields all have grams: their positions, class digests, sizes, sketches (of the first field) and prefixes."""
     texts = [[normal(t) for t in frame[f.name]] for f in fields]
     sets = [[grams(t) for t in col] for col in texts]
     kept = np.array([i for i in range(len(texts[0])) if all(len(col[i]) for col in sets)], np.int64)
     if not len(kept):
-        return kept, [], np.empty((0, len(fields)), np.int64), np.empty((0, WORDS * len(fields)), _U), []
+        return kept, [], np.empty((0, len(fields)), np.int64), np.empty((0, WORDS), _U), []
     digests = [hashlib.blake2b("\0".join(col[i] for col in texts).encode("utf-8", "surrogatepass"), digest_size=16).digest() for i in kept]
     sizes = np.array([[len(col[i]) for col in sets] for i in kept], np.int64)
-    sketches, keys = [], []
-    for f, col in enumerate(sets):
-        hashed = mixed(np.concatenate([col[i] for i in kept]) + _U(1))
-        at = np.repeat(np.arange(len(kept)) * WORDS * 64, sizes[:, f]) + (hashed % _U(WORDS * 64)).astype(np.int64)
-        flips = (np.bincount(at, minlength=len(kept) * WORDS * 64) & 1).astype(bool).reshape(len(kept), -1)
-        sketches.append(np.packbits(flips, axis=1).view(_U))
-        if f == 0:
-            keys = [(prefix(h, fields[0].least, counts) >> _U(32)).astype(np.uint32).view(np.int32) for h in np.split(hashed, np.cumsum(sizes[:, 0])[:-1])]
-    return kept, digests, sizes, np.concatenate(sketches, 1), keys
+    hashed = mixed(np.concatenate([sets[0][i] for i in kept]) + _U(1))
+    at = np.repeat(np.arange(len(kept)) * WORDS * 64, sizes[:, 0]) + (hashed % _U(WORDS * 64)).astype(np.int64)
+    flips = (np.bincount(at, minlength=len(kept) * WORDS * 64) & 1).astype(bool).reshape(len(kept), -1)
+    keys = [(prefix(h, fields[0].least, counts) >> _U(32)).astype(np.uint32).view(np.int32) for h in np.split(hashed, np.cumsum(sizes[:, 0])[:-1])]
+    return kept, digests, sizes, np.packbits(flips, axis=1).view(_U), keys
 
 
 def prefix(hashed: np.ndarray, least: float, counts: np.ndarray) -> np.ndarray:
@@ -91,92 +88,47 @@ def prefix(hashed: np.ndarray, least: float, counts: np.ndarray) -> np.ndarray:
     return hashed[np.lexsort((hashed, counts[(hashed % _U(COUNTS)).astype(np.int64)]))[:n]]
 
 
-class BKTree:
-    """A BK-tree over sketches, whose nodes are rows of ``words``: children by their distance to the parent, leaves of few rows.
-
-    Rows at distance 0 of a node stay with it, so equal sketches make no chain.
-    """
-
-    def __init__(self, words: np.ndarray, rows: np.ndarray, bound: np.ndarray):
-        self.words, self.bound = words, bound
-        self.most = float(bound[rows].max())
-        self.children: list[tuple[int, BKTree]] = []
-        self.pivot, self.rows = -1, rows
-        if len(rows) > LEAF:
-            d = np.bitwise_count(words[rows] ^ words[rows[0]]).sum(axis=1)
-            self.pivot, self.rows = int(rows[0]), rows[d == 0]
-            order = np.argsort(d, kind="stable")
-            order = order[np.searchsorted(d[order], 1) :]
-            edges = np.nonzero(np.diff(d[order]))[0] + 1
-            self.children = [(int(d[part[0]]), BKTree(words, rows[part], bound)) for part in np.split(order, edges) if len(part)]
-
-    def search(self, queries: np.ndarray, found: list[tuple[np.ndarray, np.ndarray]]) -> None:
-        """All (query, row) whose distance is at most the sum of their bounds."""
-        w, bound = self.words, self.bound
-        if self.pivot < 0:
-            d = np.bitwise_count(w[queries][:, None, :] ^ w[self.rows][None, :, :]).sum(axis=2)
-            i, j = np.nonzero(d <= bound[queries][:, None] + bound[self.rows][None, :] + 1e-9)
-            found.append((queries[i], self.rows[j]))
-            return
-        d = np.bitwise_count(w[queries] ^ w[self.pivot]).sum(axis=1).astype(np.float64)
-        i, j = np.nonzero(d[:, None] <= bound[queries][:, None] + bound[self.rows][None, :] + 1e-9)
-        found.append((queries[i], self.rows[j]))
-        for edge, child in self.children:
-            within = np.abs(d - edge) <= bound[queries] + child.most + 1e-9
-            if within.any():
-                child.search(queries[within], found)
-
-
-def shard_pairs(shard: np.ndarray, side: np.ndarray, ids: np.ndarray, sizes: np.ndarray, sketch: np.ndarray, least: Sequence[float]) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of ids within a shard that the sizes and the sketches don't exclude.
+def shard_pairs(shard: np.ndarray, side: np.ndarray, ids: np.ndarray, sizes: np.ndarray, at: np.ndarray, sketch: np.ndarray, least: Sequence[float]) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of ids within a shard that neither sizes nor positions nor sketches exclude.
 
-    ``side`` is 0, or tells the two blocks of a cell of a hot shard apart (1 and 2), of which only pairs across are asked for.
+    ``shard`` numbers the shards from 0, ``at`` is the position of a record's substring in its order. ``side`` is 0, or tells
+    the two blocks of a cell of a hot shard apart (1 and 2), of which only pairs across are asked for.
     """
-    order = np.argsort(shard, kind="stable")
-    shard, side, ids, sizes, sketch = shard[order], side[order], ids[order], sizes[order], sketch[order]
-    bounds = [(1 - t) / (1 + t) * sizes[:, f] for f, t in enumerate(least)]
-    words = [np.ascontiguousarray(sketch[:, f * WORDS : (f + 1) * WORDS]) for f in range(len(least))]
-    found: list[tuple[np.ndarray, np.ndarray]] = []
-    edges = np.concatenate([[0], np.nonzero(np.diff(shard))[0] + 1, [len(shard)]])
-    length = np.diff(edges)
-    # shards of equal small numbers of records are leaves that are searched together
-    for n in np.unique(length[(length > 1) & (length <= LEAF)]).tolist():
-        begin = edges[:-1][length == n]
-        i, j = np.triu_indices(n, 1)
-        step = max(1, 2_000_000 // len(i))
-        for k in range(0, len(begin), step):
-            a, b = (begin[k : k + step, None] + i).ravel(), (begin[k : k + step, None] + j).ravel()
-            ok = np.bitwise_count(words[0][a] ^ words[0][b]).sum(axis=1) <= bounds[0][a] + bounds[0][b] + 1e-9
-            found.append((a[ok], b[ok]))
-    for begin, end in zip(edges[:-1][length > LEAF].tolist(), edges[1:][length > LEAF].tolist()):
-        rows = np.arange(begin, end)
-        of_tree, asking = (rows, rows) if not side[begin:end].any() else (rows[side[begin:end] == 1], rows[side[begin:end] == 2])
-        if not len(of_tree) or not len(asking):
-            continue
-        tree = BKTree(words[0], of_tree, bounds[0])
-        for k in range(0, len(asking), 512):
-            hits: list[tuple[np.ndarray, np.ndarray]] = []
-            tree.search(asking[k : k + 512], hits)
-            a, b = (np.concatenate(x) for x in zip(*hits))
-            keep = (a < b) | (side[a] != side[b])
-            found.append(_fitting(a[keep], b[keep], side, sizes, words, bounds, least))
-    if not found:
-        return np.empty(0, np.int64), np.empty(0, np.int64)
-    a, b = _fitting(*(np.concatenate(x) for x in zip(*found)), side, sizes, words, bounds, least)
-    return np.minimum(ids[a], ids[b]), np.maximum(ids[a], ids[b])
-
-
-def _fitting(a: np.ndarray, b: np.ndarray, side: np.ndarray, sizes: np.ndarray, words: list[np.ndarray], bounds: list[np.ndarray], least: Sequence[float]) -> tuple[np.ndarray, np.ndarray]:
-    """The pairs of rows that no size and no sketch of another field excludes."""
-    ok = (side[a] == 0) | (side[a] != side[b])
-    for f, t in enumerate(least):
-        x, y = sizes[a, f], sizes[b, f]
-        ok &= np.minimum(x, y) + 1e-9 >= t * np.maximum(x, y)
-    a, b = a[ok], b[ok]
-    for w, bound in zip(words[1:], bounds[1:]):
-        ok = np.bitwise_count(w[a] ^ w[b]).sum(axis=1) <= bound[a] + bound[b] + 1e-9
+    order = np.lexsort((sizes[:, 0], shard))
+    shard, side, ids, sizes, at = shard[order], side[order], ids[order], sizes[order], at[order]
+    n, t = sizes[:, 0], least[0]
+    words = [np.ascontiguousarray(sketch[order, w]) for w in range(sketch.shape[1])]
+    bound = (1 - t) / (1 + t) * n
+    most = np.floor((n - at) * (1 + t) / t - n + 1e-6).astype(np.int64)  # the size of the largest partner
+    top = np.minimum(most, np.floor(n / t + 1e-6).astype(np.int64))
+    wide = int(n.max()) + 1 if len(n) else 1
+    last = np.searchsorted(shard * wide + n, shard * wide + np.minimum(top, wide - 1), "right")
+    partners = np.maximum(last - np.arange(len(n)) - 1, 0)  # those behind a record, which are no smaller
+    upto = np.cumsum(partners)
+    left, right = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+    begin = 0
+    while begin < len(n):
+        before = int(upto[begin - 1]) if begin else 0
+        end = max(begin + 1, int(np.searchsorted(upto, before + AT_ONCE, "right")))
+        many = partners[begin:end]
+        a = np.repeat(np.arange(begin, end), many)
+        b = a + 1 + np.arange(len(a)) - np.repeat(upto[begin:end] - many - before, many)
+        ok = most[b] >= n[a]
+        if side.any():
+            ok &= (side[a] == 0) | (side[a] != side[b])
+        for f, s in list(enumerate(least))[1:]:
+            x, y = sizes[a, f], sizes[b, f]
+            ok &= np.minimum(x, y) + 1e-9 >= s * np.maximum(x, y)
         a, b = a[ok], b[ok]
-    return a, b
+        for k in range(2):  # half of the bits exclude most pairs, then all of them
+            d = np.zeros(len(a), np.uint16)
+            for w in words[: len(words) // 2] if k == 0 else words:
+                d += np.bitwise_count(w[a] ^ w[b])
+            ok = d <= bound[a] + bound[b] + 1e-9
+            a, b = a[ok], b[ok]
+        left.append(np.minimum(ids[a], ids[b])), right.append(np.maximum(ids[a], ids[b]))
+        begin = end
+    return np.concatenate(left), np.concatenate(right)
 
 
 # --- Spark ---
@@ -233,10 +185,11 @@ def near(df: DataFrame, key: str, fields: Sequence[Field]) -> Near:
 
     rows = cut(spread(source).mapInArrow(featured, "id long, cls binary, sizes long, sketch binary, shards array<int>"), "features")
     members = rows.select("id", "cls")
-    first = members.groupBy("cls").agg(F.min("id").alias("id"))
-    placed = rows.select("id", F.explode("shards").alias("shard")).join(first.select("id"), "id", "left_semi")
-    shared = placed.groupBy("shard").agg(F.count("*").alias("n")).where("n > 1")
-    met = placed.join(shared, "shard").join(rows.select("id", "sizes", "sketch"), "id")
+    repeated = members.groupBy("cls").agg(F.min("id").alias("first"), F.count("*").alias("n")).where("n > 1")
+    copies = cut(members.join(repeated, "cls").where("id <> first").select("id"), "copies")
+    one = rows.join(copies, "id", "left_anti")
+    hot = cut(one.select(F.explode("shards").alias("shard")).groupBy("shard").agg(F.count("*").alias("n")).where(F.col("n") > BLOCK), "hot")
+    met = one.select("id", "sizes", "sketch", F.posexplode("shards").alias("at", "shard")).join(hot, "shard", "left")
     found = _cells(met).mapInArrow(_searcher(len(fields), least), "a long, b long").distinct()
     return Near(members, cut(_verified(found, source, fields), "near"))
 
@@ -270,13 +223,13 @@ def _packed(sizes: np.ndarray) -> np.ndarray:
 
 
 def _cells(met: DataFrame) -> DataFrame:
-    """Rows by cell, sorted. A usual shard is one cell; one of n > BLOCK records is a triangle of cells for pairs of its blocks, over many tasks."""
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+    """Rows by cell, sorted. A usual shard is one cell; a hot one, which has ``n``, is a triangle of cells for pairs of its blocks, over many tasks."""
+    blocks = F.coalesce(F.ceil(F.col("n") / BLOCK), F.lit(1)).cast("int")
     own = F.pmod(F.xxhash64("id"), blocks).cast("int")
-    rows = met.select("shard", "id", "sizes", "sketch", own.alias("own"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
+    rows = met.select("shard", "id", "sizes", "sketch", "at", own.alias("own"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
     side = F.when(F.col("own") == F.col("other"), 0).when(F.col("own") < F.col("other"), 1).otherwise(2)
     cell = F.xxhash64("shard", F.least("own", "other"), F.greatest("own", "other"))
-    return rows.select(cell.alias("cell"), side.cast("int").alias("side"), "id", "sizes", "sketch").repartition("cell").sortWithinPartitions("cell")
+    return rows.select(cell.alias("cell"), (F.col("at") * 4 + side).cast("int").alias("at"), "id", "sizes", "sketch").repartition("cell").sortWithinPartitions("cell")
 
 
 def _searcher(width: int, least: Sequence[float]):
@@ -314,8 +267,9 @@ def _searcher(width: int, least: Sequence[float]):
         _, number = np.unique(number[keep], return_inverse=True)
         packed = t.column("sizes").to_numpy()
         sizes = np.stack([packed >> 31 * f & (1 << 31) - 1 for f in range(width)], 1)
-        sketch = np.frombuffer(b"".join(t.column("sketch").to_pylist()), _U).reshape(-1, WORDS * width)
-        a, b = shard_pairs(number, t.column("side").to_numpy(), t.column("id").to_numpy(), sizes, sketch, least)
+        sketch = np.frombuffer(b"".join(t.column("sketch").to_pylist()), _U).reshape(-1, WORDS)
+        at = t.column("at").to_numpy()
+        a, b = shard_pairs(number, at & 3, t.column("id").to_numpy(), sizes, at >> 2, sketch, least)
         if len(a):
             yield pa.RecordBatch.from_pandas(pd.DataFrame({"a": a, "b": b}).drop_duplicates(), preserve_index=False)
 
