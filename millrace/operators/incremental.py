@@ -9,19 +9,20 @@ target version by an atomic rename of one small manifest, so a run that dies lea
 from __future__ import annotations
 
 import json
+import os
 import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from millrace.session import table
+from millrace.session import shared_dir, table
 
 
 def newest(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """One row for each key: the one with the greatest ``order`` columns, nulls being the least.
 
-    A hash aggregate with map-side combine, so a key that holds a third of the rows shuffles one row
+    A sorted aggregate with map-side combine, so a key that holds a third of the rows shuffles one row
     for each input split. Rows delivered twice are equal and collapse. Null keys form a group.
     """
     rest = [c for c in df.columns if c not in keys and c not in order]
@@ -74,21 +75,28 @@ def pending(source: DataFrame, target: DataFrame, keys: Sequence[str], version:
     return source.where(F.col(version).isNotNull()).join(right, cond, "left_anti")
 
 
+class Conflict(RuntimeError):
+    """Another run has published since the work was planned."""
+
+
 class VersionedTarget:
     """A table whose committed versions are manifests of immutable folders.
 
-    ``publish`` writes the rows of a run into a new folder, then a manifest ``manifest-N.json`` that lists
-    all folders of the new version. The manifest is created under another name and renamed, which fails
-    if version N exists already: of two concurrent runs one must start again. Readers see whole versions.
+    ``pending`` gives the work and the version it was planned on; ``publish`` writes its rows into a new folder and commits a
+    manifest ``manifest-N.json`` of all folders as the version after that one, and is refused if another run was faster:
+    its work must be planned again, so nothing is done twice and no newer row is overwritten. A run that dies
+    before the commit leaves a folder that no manifest names. Readers see whole versions.
+
+    The commit takes the manifest's name by a hard link on a local disk, else by the rename of Hadoop's file system, which is
+    atomic and refuses an existing name on HDFS. Object stores without such a rename can't hold a target.
     """
 
-    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], version: str):
-        self.spark, self.path, self.keys, self.version = spark, path.rstrip("/"), list(keys), version
-        jvm = spark._jvm
-        self._fs = jvm.org.apache.hadoop.fs.Path(self.path).getFileSystem(spark._jsc.hadoopConfiguration())
+    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], version: str, most_folders: int = 16):
+        self.spark, self.path, self.keys, self.version, self.most_folders = spark, path.rstrip("/"), list(keys), version, most_folders
+        self._fs = spark._jvm.org.apache.hadoop.fs.Path(self.path).getFileSystem(spark._jsc.hadoopConfiguration())
 
     def _p(self, name: str):
-        return self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
+        return self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}" if name else self.path)
 
     def current(self) -> tuple[int, list[str]]:
         """Number and folders of the newest committed version; (0, []) before the first."""
@@ -109,25 +117,34 @@ class VersionedTarget:
 
     def read(self) -> DataFrame | None:
         """The newest row of every key (that of the latest publication), or None before the first version."""
-        _, folders = self.current()
+        return self._read(self.current()[1])
+
+    def _read(self, folders: Sequence[str]) -> DataFrame | None:
         if not folders:
             return None
-        parts = [self.spark.read.parquet(f"{self.path}/{f}").withColumn("_published", F.lit(i)) for i, f in enumerate(folders)]
-        rows = parts[0]
-        for p in parts[1:]:
-            rows = rows.unionByName(p, allowMissingColumns=True)
-        return newest(rows, self.keys, ["_published"]).drop("_published")
-
-    def pending(self, source: DataFrame, settled: str | None = None) -> DataFrame:
-        target = self.read()
-        return source.where(F.col(self.version).isNotNull()) if target is None else pending(source, target, self.keys, self.version, settled)
-
-    def publish(self, rows: DataFrame) -> int:
-        """Write ``rows`` and commit them as the next version; returns its number."""
+        rows = self.spark.read.option("mergeSchema", "true").parquet(*[f"{self.path}/{f}" for f in folders])
+        return newest(rows, self.keys, ["_published"])
+
+    def pending(self, source: DataFrame, settled: str | None = None) -> tuple[DataFrame, int]:
+        """The rows of ``source`` that the newest version doesn't hold, and that version's number."""
+        base, folders = self.current()
+        target = self._read(folders)
+        return (source.where(F.col(self.version).isNotNull()) if target is None else pending(source, target, self.keys, self.version, settled)), base
+
+    def publish(self, rows: DataFrame, base: int) -> int:
+        """Commit ``rows`` as the version after ``base``; returns its number, or raises Conflict and changes nothing."""
         n, folders = self.current()
+        if n != base:
+            raise Conflict(f"version {n} was published since {base}")
         folder = f"data-{uuid.uuid4().hex}"
-        rows.write.parquet(f"{self.path}/{folder}")
-        return self._commit(n + 1, [*folders, folder])
+        rows.drop("_published").withColumn("_published", F.lit(base + 1)).write.parquet(f"{self.path}/{folder}")
+        done = self._commit(base + 1, [*folders, folder])
+        if len(folders) + 1 > self.most_folders:
+            try:
+                done = self.compact()
+            except Conflict:
+                pass  # the faster run will compact
+        return done
 
     def compact(self) -> int:
         """Rewrite the newest rows into one folder, as a new version; older folders stay readable."""
@@ -135,7 +152,7 @@ class VersionedTarget:
         if len(folders) < 2:
             return n
         folder = f"data-{uuid.uuid4().hex}"
-        self.read().write.parquet(f"{self.path}/{folder}")
+        self._read(folders).write.parquet(f"{self.path}/{folder}")
         return self._commit(n + 1, [folder])
 
     def _commit(self, n: int, folders: list[str]) -> int:
@@ -143,9 +160,15 @@ class VersionedTarget:
         out = self._fs.create(temp, False)
         out.write(bytearray(json.dumps({"version": n, "folders": folders}).encode()))
         out.close()
-        if self._fs.exists(final) or not self._fs.rename(temp, final):
+        try:
+            if self._fs.getUri().getScheme() == "file":
+                os.link(temp.toUri().getPath(), final.toUri().getPath())
+            elif self._fs.exists(final) or not self._fs.rename(temp, final):
+                raise FileExistsError
+        except FileExistsError:
+            raise Conflict(f"version {n} was published by another run") from None
+        finally:
             self._fs.delete(temp, False)
-            raise RuntimeError(f"version {n} was published by another run; start again from current()")
         return n
 
 
@@ -169,6 +192,27 @@ def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs_to_do(table(spark, sf_dir, "source_scans"), table(spark, sf_dir, "doc_states"))
 
 
+def p6_target(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """topic, source_sha, run_no as the target holds them after every run of pipeline_runs worked off what it found pending."""
+    scans = table(spark, sf_dir, "source_scans").select("run_no", "topic", "observed_at", "scan_id", "source_sha")
+    seen = newest(scans, ["run_no", "topic"], ["observed_at", "scan_id"]).select("run_no", "topic", "source_sha")
+    target = VersionedTarget(spark, f"{shared_dir(spark)}/target-{uuid.uuid4().hex}", ["topic"], "source_sha")
+    for run in sorted(r[0] for r in table(spark, sf_dir, "pipeline_runs").select("run_no").collect()):  # a fixed table
+        work, base = target.pending(seen.where(F.col("run_no") == run))
+        target.publish(work, base)
+    return target.read().select("topic", "source_sha", "run_no")
+
+
+P6_TARGET_SQL = """
+WITH obs AS (
+  SELECT run_no, topic, source_sha FROM (
+    SELECT *, row_number() OVER (PARTITION BY run_no, topic ORDER BY observed_at DESC NULLS LAST, scan_id DESC NULLS LAST) AS rn
+    FROM source_scans) WHERE rn = 1 AND source_sha IS NOT NULL AND run_no IN (SELECT run_no FROM pipeline_runs)),
+chg AS (SELECT *, lag(source_sha) OVER (PARTITION BY topic ORDER BY run_no) AS before FROM obs)
+SELECT topic, source_sha, run_no FROM chg WHERE before IS DISTINCT FROM source_sha
+QUALIFY row_number() OVER (PARTITION BY topic ORDER BY run_no DESC) = 1
+"""
+
 P6_SQL = """
 WITH obs AS (
   SELECT run_no, topic, source_sha FROM (

@@ -16,7 +16,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that all executors share: spark.checkpoint.dir where the session sets it.
 
-    Only where nobody set one (tests, a local session) a temporary folder is made and set.
+    Only a local session without one gets a temporary folder; on a cluster that is an error, as its executors share no disk.
     """
     conf = spark.sparkContext.getConf()
     found = spark.conf.get("spark.checkpoint.dir", None) or conf.get("spark.checkpoint.dir", None)
@@ -24,34 +24,52 @@ def shared_dir(spark: SparkSession) -> str:
         jvm_dir = spark.sparkContext._jsc.sc().getCheckpointDir()
         found = jvm_dir.get() if jvm_dir.isDefined() else None
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         found = tempfile.mkdtemp(prefix="millrace-")
         spark.conf.set("spark.checkpoint.dir", found)
-    if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
-        spark.sparkContext.setCheckpointDir(found)
     return found
 
 
 def cut(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write ``df`` once into the shared folder and read it back, which cuts its lineage.
 
-    A lost executor loses nothing, since the files lie where all executors read them.
+    A lost executor loses nothing, since the files lie where all executors read them. The job runs when this is called. The
+    results that are built on it read the files, so they stay until ``release`` or the owner of the folder deletes them.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _written.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Repartition only if the scan yields fewer tasks than there are cores (small single files).
+_written: list[str] = []
 
-    Over a large input the scan's own splits are kept, so that texts are not shuffled.
+
+def release(spark: SparkSession) -> int:
+    """Delete what ``cut`` has written in this process, once the results are stored; returns the number of folders."""
+    n = 0
+    while _written:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_written.pop())
+        n += bool(path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True))
+    return n
+
+
+def spread(df: DataFrame, tasks: int | None = None) -> DataFrame:
+    """Repartition a plain scan that has fewer splits than ``tasks`` (the session's parallelism unless given).
+
+    Small single files are spread so; a large input has more splits than that and keeps them, so its texts are not shuffled. An
+    input with a join, an aggregate or a shuffle of its own is left as it is, as counting its partitions would run it.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+    tasks = tasks or df.sparkSession.sparkContext.defaultParallelism
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    if any(step in plan for step in ("Join", "Aggregate", "Repartition", "Window", "Sort", "Limit")):
+        return df
+    return df if df.rdd.getNumPartitions() >= tasks else df.repartition(tasks)
 
 
 def text_batches(spark: SparkSession, rows: int = 1000) -> None:
-    """Bound the rows of an Arrow batch, so that a worker holds few whole texts at once."""
+    """Bound the rows of an Arrow batch, so that a worker holds few whole texts at once; a session setting, as Spark has it."""
     if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > rows:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
