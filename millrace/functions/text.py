@@ -117,22 +117,29 @@ def inject_questions(markdown: Column, questions: Column) -> Column:
     return F.when(F.coalesce(F.size(questions), F.lit(0)) <= 0, markdown).when(heading > 0, inside).otherwise(F.concat(line, F.lit("\n\n"), markdown))
 
 
+def _token(kind: str, value: Column) -> Column:
+    return F.concat(F.lit(f"〔{kind}:"), F.substring(F.sha2(value, 256), 1, 6), F.lit("〕"))
+
+
+def _values_of(text: Column | str, kind: str, pattern: str) -> Column:
+    return F.transform(F.array_distinct(F.regexp_extract_all(text, F.lit(pattern), 0)), lambda v: F.struct(_token(kind, v).alias("token"), v.alias("value")))
+
+
 def masked_values(text: Column | str) -> Column:
     """Array of (token, value) of every value that a pattern finds in the text as it stands."""
-    found = []
-    for kind, pattern in MASKS:
-        token = lambda v, kind=kind: F.concat(F.lit(f"〔{kind}:"), F.substring(F.sha2(v, 256), 1, 6), F.lit("〕"))
-        values = F.array_distinct(F.regexp_extract_all(text, F.lit(pattern), 0))
-        found.append(F.transform(values, lambda v, token=token: F.struct(token(v).alias("token"), v.alias("value"))))
-    return F.concat(*found)
+    return F.concat(*[_values_of(text, kind, pattern) for kind, pattern in MASKS])
+
+
+def _masked(text: Column, kind: str, pattern: str) -> Column:
+    values = F.array_sort(F.array_distinct(F.regexp_extract_all(text, F.lit(pattern), 0)), lambda x, y: F.length(y) - F.length(x))
+    return F.aggregate(values, text, lambda acc, v: F.replace(acc, v, _token(kind, v)))
 
 
 def mask(text: Column | str) -> Column:
     """The text with a token for each value, pattern after pattern; of one pattern longer values first, so none is cut by another."""
     out = F.col(text) if isinstance(text, str) else text
     for kind, pattern in MASKS:
-        values = F.array_sort(F.array_distinct(F.regexp_extract_all(out, F.lit(pattern), 0)), lambda x, y: F.length(y) - F.length(x))
-        out = F.aggregate(values, out, lambda acc, v, kind=kind: F.replace(acc, v, F.concat(F.lit(f"〔{kind}:"), F.substring(F.sha2(v, 256), 1, 6), F.lit("〕"))))
+        out = _masked(out, kind, pattern)
     return out
 
 
