@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.tokens import with_ids
-from millrace.session import cut, table
+from millrace.session import cut, spread, table
 
 STEPS, SEED = 256, 9
 
@@ -54,7 +54,7 @@ def quality(text: str):
 
 def _chosen(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     targets = table(spark, sf_dir, "mix_targets")
-    docs = table(spark, sf_dir, "documents").join(F.broadcast(targets.where("target_share > 0").select("source")), "source", "left_semi")
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "source", "text")).join(F.broadcast(targets.where("target_share > 0").select("source")), "source", "left_semi")
     counts = with_ids(docs.select("doc_id", "source", "text", F.xxhash64("text").alias("same"), quality("text").alias("quality")), "text", "tokens", count_only=True)
     stored = cut(counts.where("tokens > 0"), "tokens")
     copies = stored.groupBy("source", "same", "tokens").agg(F.count("*").alias("n")).where("n > 1")

@@ -5,9 +5,10 @@ are repeated lines, few distinct substrings, how well the text compresses, and i
 fitted on a bounded sample of documents and flattened into arrays of nodes, which score a whole batch at once. All
 statistics but the length are constrained to be monotonic: more repetition never lowers a score.
 
-The trees decide which documents are repetitive: score at or above a cut. The cut is not tuned but proven. Of each tree
-the least leaf is taken that a document with a repeated share of LEAST or more can reach; their sum is a bound below the
-score of every such document, so none is lost, whatever the sample was. Those at or above the cut are then checked exactly.
+The trees decide which documents are repetitive: score at or above a cut. The cut is not tuned but proven: by the constraints
+the least score of a document with a repeated share of LEAST or more is one with no other repetition, of some length; all
+lengths that the trees tell apart are tried. So none is lost, whatever the sample was. Those at or above the cut are then
+checked exactly.
 """
 
 from __future__ import annotations
@@ -113,18 +114,18 @@ class Trees:
             total += self.value[at]
         return total
 
-    def least_score(self, feature: int, at_least: float) -> float:
-        """A bound below the score of every row whose ``feature`` is ``at_least`` or more, whatever else it holds."""
-
-        def least(node: int) -> float:
-            if self.left[node] == node:
-                return float(self.value[node])
-            right = least(self.right[node])
-            no_left = self.feature[node] == feature and self.threshold[node] <= at_least
-            return right if no_left else min(least(self.left[node]), right)
-
-        # a hair below, as sums of floats depend on their order
-        return self.base + sum(least(r) for r in self.roots) - 1e-9
+    def least_score(self, feature: int, at_least: float, monotonic: tuple[int, ...] = MONOTONIC) -> float:
+        """The least score of any row whose ``feature`` is ``at_least`` or more, all features being 0 or more.
+
+        Raising a constrained feature lowers no tree, so the least score has all of them at their least values; the one that
+        isn't constrained is tried in every interval between its thresholds. This is exact, whatever the trees are.
+        """
+        free = monotonic.index(0)
+        inner = self.left != np.arange(len(self.left))
+        tried = np.unique(np.concatenate([[0.0], self.threshold[inner & (self.feature == free)]]))
+        x = np.zeros((len(tried), len(monotonic)))
+        x[:, feature], x[:, free] = at_least, tried
+        return float(self.score(x).min())
 
 
 def fit(x: np.ndarray, y: np.ndarray, monotonic: tuple[int, ...] = MONOTONIC, trees: int = TREES) -> Trees:

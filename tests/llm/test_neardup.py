@@ -1,22 +1,8 @@
 import random
-import sys
-from pathlib import Path
 
 import numpy as np
-import pytest
 
-sys.path.insert(0, str(Path(__file__).resolve().parents[2]))
-
-from millrace.llm import neardup  # noqa: E402
-
-
-@pytest.fixture(scope="module")
-def spark():
-    from pyspark.sql import SparkSession
-
-    s = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").config("spark.sql.shuffle.partitions", "2").getOrCreate()
-    yield s
-    s.stop()
+from millrace.llm import neardup
 
 
 def planted(rng: random.Random, least: float, n: int) -> list[tuple[str, str]]:
