@@ -139,10 +139,15 @@ def mask(text: Column | str) -> Column:
     """The text with a token for each value, pattern after pattern; of one pattern longer values first, so none is cut by another."""
     out = F.col(text) if isinstance(text, str) else text
     for kind, pattern in MASKS:
-        out = _masked(out, kind, pattern)
+        # bound by a lambda, as the text is named twice: written out, the steps would double each time
+        out = F.get(F.transform(F.array(out), _masking(kind, pattern)), F.lit(0))
     return out
 
 
+def _masking(kind: str, pattern: str):
+    return lambda text: _masked(text, kind, pattern)
+
+
 def tokens(text: Column | str) -> Column:
     return F.array_sort(F.array_distinct(F.regexp_extract_all(text, F.lit(TOKEN), 0)))
 

@@ -328,11 +328,6 @@ def op_dedup_questions(spark, sf):
     return U.dedup_questions(_questions(spark, sf))
 
 
-@query()
-def op_answer_groups(spark, sf):
-    return U.aggregate_answers(_questions(spark, sf))
-
-
 @query()
 def op_batches(spark, sf):
     """Sections packed in order into batches of at most 25 and 18,000 characters, within their topic."""
