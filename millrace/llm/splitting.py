@@ -53,8 +53,13 @@ def cores(text: Column, max_chars: int, overlap_chars: int) -> Column:
     if overlap_chars < 0 or limit < 1 or overlap_chars > max(1, limit // 2):
         raise ValueError("overlap_chars must be at least 0 and at most a third of max_chars")
     sizes = F.transform(F.regexp_extract_all(shadow(text), F.lit(core_pattern(limit, overlap_chars)), 0), lambda x: F.char_length(x))
-    ends = F.transform(sizes, lambda x, i: F.struct(x.alias("size"), F.aggregate(F.slice(sizes, 1, i), F.lit(1), lambda acc, y: acc + y).alias("start")))
-    pieces = F.transform(ends, lambda x: F.struct(x["start"].alias("start"), F.substring(text, x["start"], x["size"]).alias("core")))
+
+    def placed(z: Column) -> Column:
+        ends = F.transform(z, lambda x, i: F.struct(x.alias("size"), F.aggregate(F.slice(z, 1, i), F.lit(1), lambda acc, y: acc + y).alias("start")))
+        return F.transform(ends, lambda x: F.struct(x["start"].alias("start"), F.substring(text, x["start"], x["size"]).alias("core")))
+
+    # bound by a lambda, as the sizes are named twice: written out, they would be found anew for each piece
+    pieces = F.get(F.transform(F.array(sizes), placed), F.lit(0))
     whole = F.array(F.struct(F.lit(1).alias("start"), text.alias("core")))
     return F.when(text.isNull(), F.lit(None)).when(F.char_length(text) <= max_chars, whole).otherwise(pieces)
 
