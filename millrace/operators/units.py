@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.functions.text import answer_norm, query_keys, query_norm, ratio, sid_order, top_chapter
+from millrace.functions.text import answer_norm, query_keys, query_norm, sid_order, top_chapter
+from millrace.operators.alike import near_edges
 from millrace.session import cut
 
 # The least similarity of queries and of answers that are merged, and the size from which a module is split by chapter.
@@ -26,31 +27,6 @@ def first_of(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.min_by(payload, F.struct(*order)).alias("_r")).select(*keys, *[F.col(f"_r.{c}").alias(c) for c in rest])
 
 
-def near_edges(norms: DataFrame, least: float) -> DataFrame:
-    """module, a, b (a < b): the pairs of a module whose norms are similar by ``least`` (0 to 100) or more.
-
-    ``norms`` has module, ord and a distinct, non-empty norm. Of n characters at most ``d = 2 (1 - t) / t * n``, t being
-    the least similarity over 100, are inserted or deleted, and each of these destroys at most two pairs of neighbouring
-    characters: two norms share one of the first ``2 d + 1`` distinct pairs of either, in any one order, and meet by it. No
-    pair is lost; pairs rare by hash are put first, as a common one would bring many together.
-    """
-    t = least / 100
-    n = F.length("norm")
-    grams = F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1))), lambda i: F.substring(F.col("norm"), i, 2)))
-    every = norms.select("module", "ord", "norm", grams.alias("grams"))
-    spread_of = F.greatest(F.lit(1), F.ceil(2 * 2 * (1 - t) / t * n).cast("int") + 1)
-    counts = every.select("module", F.explode("grams").alias("gram")).groupBy("module", "gram").agg(F.count("*").alias("n"))
-    ranked = every.select("module", "ord", F.length("norm").alias("size"), spread_of.alias("upto"), F.explode("grams").alias("gram")).join(counts, ["module", "gram"])
-    of_one = Window.partitionBy("module", "ord").orderBy("n", "gram")  # the pairs of one norm
-    keys = ranked.withColumn("at", F.row_number().over(of_one)).where("at <= upto and n > 1").select("module", "gram", "ord", "size")
-    other = keys.select("module", "gram", F.col("ord").alias("b"), F.col("size").alias("size_b"))
-    fits = (F.col("ord") < F.col("b")) & (F.least("size", "size_b") * (2 - t) >= F.greatest("size", "size_b") * t)
-    met = keys.join(other, ["module", "gram"]).where(fits).select("module", F.col("ord").alias("a"), "b").distinct()
-    texts = norms.select("module", F.col("ord").alias("a"), F.col("norm").alias("na"))
-    told = met.join(texts, ["module", "a"]).join(texts.select("module", F.col("a").alias("b"), F.col("na").alias("nb")), ["module", "b"])
-    return told.where(ratio("na", "nb") >= least).select("module", "a", "b")
-
-
 def leaders(norms: DataFrame, least: float) -> DataFrame:
     """module, ord, leader: whom greedy clustering in order gives each unit to; a leader leads itself.
 
