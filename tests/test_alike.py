@@ -1,6 +1,7 @@
 import random
 import time
 
+from millrace.functions.text import similarity
 from millrace.operators import units as U
 
 SYLLABLES = [a + b + c for a in "bdfgklmnprstvz" for b in "aeiou" for c in "lmnrsx"]
@@ -27,3 +28,37 @@ def test_a_large_module_is_folded_in_time(spark):
     got = {r["ord"]: len(r["paraphrases"]) for r in U.dedup_questions(spark.createDataFrame(rows, COLUMNS)).collect()}
     assert time.time() - began < 90
     assert got == {i: int(i % 10 == 0) for i in range(n)}
+
+
+def test_blocks_of_a_module_lose_no_group(spark, monkeypatch):
+    from millrace.operators import alike
+
+    monkeypatch.setattr(alike, "SMALL", 100)
+    monkeypatch.setattr(alike, "LEAST", 40)
+    rng = random.Random(5)
+    base = ["".join(rng.choices("abcde01问题", k=rng.randint(5, 60))) for _ in range(40)]
+    texts = {}
+    for i in range(500):
+        t = list(rng.choice(base))
+        for _ in range(rng.randint(0, 4)):
+            at = rng.randrange(len(t) + 1)
+            t[at : at + rng.randint(0, 1)] = rng.choice(["", "x", "9", "解"])
+        texts.setdefault("".join(t), i)
+    rows = [(m, i, t) for m in ("hot", "like hot") for t, i in texts.items()] + [(f"small {i % 7}", i, t) for t, i in texts.items()]
+    df = spark.createDataFrame(rows, "module string, ord long, norm string")
+    assert alike.placed(df, 90.0).where("low >= 0").select("low", "high").distinct().count() > 10
+    by = {}
+    for m, i, t in rows:
+        by.setdefault(m, []).append((i, t))
+    want = {(m, i, j) for m, own in by.items() for i, a in own for j, b in own if i < j and similarity(a, b) >= 90.0}
+    got = [(r["module"], r["a"], r["b"]) for r in U.near_edges(df, 90.0).collect()]
+    assert len(got) == len(set(got)) and set(got) == want
+
+
+def test_groups_of_a_large_module_in_time(spark):
+    n = 9000
+    rows = [(i, q, [("hot", "", "1")]) for i, q in hot_module(n)]
+    began = time.time()
+    got = {r["ord"]: r["leader"] for r in U.query_groups(spark.createDataFrame(rows, "ord long, query string, sources array<struct<topic:string,heading_path:string,section_sid:string>>")).collect()}
+    assert time.time() - began < 90
+    assert got == {i: i % n for i, _, _ in rows}
