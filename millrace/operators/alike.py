@@ -122,23 +122,107 @@ def placed(norms: DataFrame, least: float) -> DataFrame:
     return each_task.select(shard.alias("shard"), F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "module", "block", "ord", "norm")
 
 
-def near_edges(norms: DataFrame, least: float) -> DataFrame:
-    """module, a, b (a < b): the pairs of a module whose norms are similar by ``least`` (0 to 100) or more.
+def led_by(ord_: np.ndarray, module: np.ndarray, texts: list[str], least: float) -> np.ndarray:
+    """Positions of the leaders that greedy clustering in order gives the texts of whole modules; a leader's own is its own.
 
-    ``norms`` has module, ord and a distinct, non-empty norm. ``least`` is above 0.
+    Only leaders are compared with later texts, and exactly only until one is similar, so a module of one wording is no more work.
     """
+    t = least / 100
+    order = np.lexsort((ord_, module))
+    texts = [texts[k] for k in order]
+    n, words, module = np.array([len(x) for x in texts], np.int64), sketches(texts), module[order]
+    to = np.arange(len(texts))
+    ends = [*(np.flatnonzero(module[1:] != module[:-1]) + 1).tolist(), len(texts)]
+    for begin, end in zip([0, *ends], ends):
+        lead = np.empty(0, np.int64)
+        for r in range(begin, end, ROWS):
+            rows = np.arange(r, min(r + ROWS, end))
+            against = np.concatenate([lead, rows])
+            left, right = [], []
+            for c in range(0, len(against), COLUMNS):
+                cols = against[c : c + COLUMNS]
+                most = int((1 - t) * (int(n[rows].max()) + int(n[cols].max())) + _SLACK)
+                apart = np.bitwise_count(words[0][rows, None] ^ words[0][cols])
+                apart += np.bitwise_count(words[1][rows, None] ^ words[1][cols])
+                i, j = np.divmod(np.flatnonzero(apart <= min(most, 255)), len(cols))
+                apart = apart[i, j].astype(np.int64)
+                i, j = i + r, cols[j]
+                for w in words[2:]:
+                    apart += np.bitwise_count(w[i] ^ w[j])
+                ok = (j < i) & (np.maximum(apart, np.abs(n[i] - n[j])) <= (1 - t) * (n[i] + n[j]) + _SLACK)
+                left.append(i[ok])
+                right.append(j[ok])
+            i, j = np.concatenate(left), np.concatenate(right)
+            sorted_ = np.lexsort((j, i))
+            done = -1
+            for x, y in zip(i[sorted_].tolist(), j[sorted_].tolist()):
+                if x != done and to[y] == y and similarity(texts[x], texts[y]) >= least:
+                    to[x], done = y, x
+            lead = np.concatenate([lead, rows[to[rows] == rows]])
+    out = np.empty(len(texts), np.int64)
+    out[order] = order[to]
+    return out
 
+
+def _edges(norms: DataFrame, least: float, leading: bool) -> DataFrame:
     def near(rows: pa.Table) -> pa.Table:
         module, ord_ = rows["module"].combine_chunks(), rows["ord"].combine_chunks()
         low, high = rows["low"][0].as_py(), rows["high"][0].as_py()
-        upper = rows["block"].to_numpy() == high if low < high else None
-        i, j = pairs_of(module.dictionary_encode().indices.to_numpy(zero_copy_only=False), upper, rows["norm"].to_pylist(), least)
-        return pa.table({"module": module.take(pa.array(i)), "x": ord_.take(pa.array(i)), "y": ord_.take(pa.array(j))})
+        codes, texts = module.dictionary_encode().indices.to_numpy(zero_copy_only=False), rows["norm"].to_pylist()
+        whole = leading and low < 0
+        if whole:
+            to = led_by(ranks(ord_), codes, texts, least)
+            j = np.flatnonzero(to != np.arange(len(to)))
+            i = to[j]
+        else:
+            i, j = pairs_of(codes, rows["block"].to_numpy() == high if low < high else None, texts, least)
+        return pa.table({"module": module.take(pa.array(i)), "x": ord_.take(pa.array(i)), "y": ord_.take(pa.array(j)), "whole": pa.array(np.full(len(i), whole))})
 
     spark = norms.sparkSession
     kind = norms.schema["ord"].dataType.simpleString()
     tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 3 * spark.sparkContext.defaultParallelism)
     keys = ["shard", "low", "high"]
     # by number, as little text can be much work, and tasks joined by their bytes would leave it to one
-    pairs = placed(norms, least).repartition(tasks, *keys).groupBy(*keys).applyInArrow(near, f"module string, x {kind}, y {kind}")
-    return pairs.select("module", F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+    pairs = placed(norms, least).repartition(tasks, *keys).groupBy(*keys).applyInArrow(near, f"module string, x {kind}, y {kind}, whole boolean")
+    return pairs.select("module", F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), "whole")
+
+
+def ranks(values: pa.Array) -> np.ndarray:
+    """The rank of each value among the distinct ones, in Spark's order."""
+    return np.unique(values.to_numpy(zero_copy_only=False), return_inverse=True)[1]
+
+
+def near_edges(norms: DataFrame, least: float) -> DataFrame:
+    """module, a, b (a < b): the pairs of a module whose norms are similar by ``least`` (0 to 100) or more.
+
+    ``norms`` has module, ord and a distinct, non-empty norm. ``least`` is above 0.
+    """
+    return _edges(norms, least, leading=False).drop("whole")
+
+
+def leading_edges(norms: DataFrame, least: float) -> DataFrame:
+    """As ``near_edges``, with whole; a module that lies whole in a task gives only each text's pair with its leader (whole is true)."""
+    return _edges(norms, least, leading=True)
+
+
+def settled_by(edges: DataFrame) -> DataFrame:
+    """module, b, leader of every b of ``edges`` (module, a, b), all pairs of their modules; each module is one task's."""
+    kind = edges.schema["b"].dataType.simpleString()
+
+    def greedy(rows: pa.Table) -> pa.Table:
+        names = pa.chunked_array([*rows["a"].chunks, *rows["b"].chunks]).combine_chunks()
+        codes = ranks(names)
+        a, b = codes[: len(rows)], codes[len(rows) :]
+        order = np.lexsort((a, b))
+        to = np.arange(int(codes.max()) + 1)
+        for begin in range(0, len(order), AT_ONCE):
+            some = order[begin : begin + AT_ONCE]
+            for x, y in zip(a[some].tolist(), b[some].tolist()):
+                if to[y] == y and to[x] == x:  # the earliest leader first, as its pairs are sorted
+                    to[y] = x
+        told = np.unique(b)
+        at = np.empty(len(to), np.int64)
+        at[codes] = np.arange(len(codes))
+        return pa.table({"module": pa.repeat(rows["module"][0], len(told)), "b": names.take(pa.array(at[told])), "leader": names.take(pa.array(at[to[told]]))})
+
+    return edges.select("module", "a", "b").groupBy("module").applyInArrow(greedy, f"module string, b {kind}, leader {kind}")

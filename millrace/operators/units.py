@@ -8,11 +8,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.text import answer_norm, query_keys, query_norm, sid_order, top_chapter
-from millrace.operators.alike import near_edges
+from millrace.operators.alike import leading_edges, near_edges, settled_by  # noqa: F401  (near_edges is read from here)
 from millrace.session import cut
 
-# The least similarity of queries and of answers that are merged, and the size from which a module is split by chapter.
-QUERY_LIKE, ANSWER_LIKE, SPLIT_ABOVE = 90.0, 88.0, 6
+# The least similarity of queries and of answers that are merged, the size from which a module is split by chapter,
+# and the pairs of a module that one task settles.
+QUERY_LIKE, ANSWER_LIKE, SPLIT_ABOVE, HELD = 90.0, 88.0, 6, 1 << 21
 
 
 def module_of(sources: Column) -> Column:
@@ -30,14 +31,33 @@ def first_of(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
 def leaders(norms: DataFrame, least: float) -> DataFrame:
     """module, ord, leader: whom greedy clustering in order gives each unit to; a leader leads itself.
 
-    A unit joins the first leader it is similar to, or leads. So whether it leads depends only on its earlier neighbours: in
-    each round all those are settled whose earlier neighbours are, wherever they lie, and nothing is sequential but the
-    chains of neighbours. Equal norms go with the first of them, empty ones lead themselves.
+    A unit joins the first leader it is similar to, or leads. Equal norms go with the first of them, empty ones lead themselves.
+    A module that lies whole in a task is settled there, a larger one from its pairs; only one of more than HELD pairs goes
+    through rounds.
     """
     named = norms.where("norm <> ''")
     first = cut(named.groupBy("module", "norm").agg(F.min("ord").alias("ord")), "norms")
-    edges = cut(near_edges(first, least), "edges")
-    spark = norms.sparkSession
+    edges = cut(leading_edges(first, least), "edges")
+    settled = edges.where("whole").select("module", "b", F.col("a").alias("leader"))
+    parts = edges.where("not whole")
+    counts = [(r["module"], r["count"]) for r in parts.groupBy("module").count().collect()]  # a row for each module of more than SMALL norms
+    many = [m for m, n in counts if n > HELD]
+    if len(many) < len(counts):
+        settled = settled.unionByName(settled_by(parts.where(~F.col("module").isin(many))))
+    if many:
+        settled = settled.unionByName(in_rounds(cut(parts.where(F.col("module").isin(many)).drop("whole"), "edges")))
+    settled = cut(settled, "settled")  # its size is known then, and few are broadcast
+    own = first.select("module", "norm", F.col("ord").alias("b"))
+    led = own.join(settled, ["module", "b"], "left").select("module", "norm", F.coalesce("leader", "b").alias("leader"))
+    return named.join(led, ["module", "norm"]).select("module", "ord", "leader").unionByName(norms.where("norm = ''").select("module", "ord", F.col("ord").alias("leader")))
+
+
+def in_rounds(edges: DataFrame) -> DataFrame:
+    """module, b, leader of every b of ``edges`` (module, a, b).
+
+    Whether a unit leads depends only on its earlier neighbours: in each round all those are settled whose earlier neighbours
+    are, wherever they lie, and nothing is sequential but the chains of neighbours.
+    """
     settled = None  # module, b, leader of the units with an earlier neighbour
     while True:
         if settled is None:
@@ -60,11 +80,7 @@ def leaders(norms: DataFrame, least: float) -> DataFrame:
         if new.isEmpty():
             break
         settled = new if settled is None else settled.unionByName(new)
-    own = first.select("module", "norm", F.col("ord").alias("b"))
-    if settled is None:
-        settled = spark.createDataFrame([], edges.select("module", "b", F.col("a").alias("leader")).schema)
-    led = own.join(settled, ["module", "b"], "left").select("module", "norm", F.coalesce("leader", "b").alias("leader"))
-    return named.join(led, ["module", "norm"]).select("module", "ord", "leader").unionByName(norms.where("norm = ''").select("module", "ord", F.col("ord").alias("leader")))
+    return settled
 
 
 def fold(units: DataFrame, groups: DataFrame, semantic: bool) -> DataFrame:

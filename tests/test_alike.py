@@ -62,3 +62,44 @@ def test_groups_of_a_large_module_in_time(spark):
     got = {r["ord"]: r["leader"] for r in U.query_groups(spark.createDataFrame(rows, "ord long, query string, sources array<struct<topic:string,heading_path:string,section_sid:string>>")).collect()}
     assert time.time() - began < 90
     assert got == {i: i % n for i, _, _ in rows}
+
+
+def greedy(texts):
+    """Leaders by greedy clustering over the texts in order."""
+    out = []
+    for i, t in enumerate(texts):
+        out.append(next((j for j in range(i) if out[j] == j and similarity(t, texts[j]) >= 90.0), i))
+    return out
+
+
+def grouped(spark, texts):
+    rows = [("m", i, t) for i, t in enumerate(texts)]
+    got = {r["ord"]: r["leader"] for r in U.leaders(spark.createDataFrame(rows, "module string, ord long, norm string"), 90.0).collect()}
+    return [got[i] for i in range(len(texts))]
+
+
+def test_a_module_of_one_wording_in_time(spark):
+    began = time.time()
+    got = grouped(spark, [f"节点{i:04d}的检查点写入在升级之后变慢时应该先看哪一个指标再看哪一段日志并且按什么次序重启相关的服务" for i in range(8000)])
+    assert time.time() - began < 60
+    assert got == [0] * 8000
+
+
+def test_a_long_chain_in_time(spark, monkeypatch):
+    from millrace.operators import alike
+
+    rng = random.Random(8)
+    long = "".join(rng.choices(SYLLABLES, k=600))
+    chain = [long[2 * i : 2 * i + 40] for i in range(800)]
+    want = greedy(chain)
+    assert sum(i == j for i, j in enumerate(want)) > 200
+    began = time.time()
+    assert grouped(spark, chain) == want  # whole in a task
+    monkeypatch.setattr(alike, "SMALL", 100)
+    monkeypatch.setattr(alike, "LEAST", 200)
+    assert grouped(spark, chain) == want  # in blocks, settled from the pairs
+    assert time.time() - began < 60
+    monkeypatch.setattr(U, "HELD", 0)
+    assert grouped(spark, chain[:12]) == want[:12]
+    monkeypatch.setattr(alike, "SMALL", 5)
+    assert grouped(spark, chain[:12]) == want[:12]  # in rounds
