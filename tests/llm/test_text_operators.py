@@ -1,3 +1,6 @@
+import random
+import re
+import time
 from collections import Counter
 
 import numpy as np
@@ -120,6 +123,27 @@ def found(spark, rows):
     return [out.get(i, set()) for i in range(len(rows))]
 
 
+def test_a_long_word_is_examined_in_time():
+    began = time.process_time()
+    assert defects.language("x" * 20000 + " the disk is full and the node was lost") == "en"
+    assert time.process_time() - began < 2
+
+
+def test_sentences_end_as_their_marks_say():
+    rng = random.Random(9)
+    for _ in range(3000):
+        text = "".join(rng.choices("ab。！？.!? \n\t　", k=rng.randint(0, 30)))
+        assert defects.sentences(text) == re.split(r"(?<=[。！？])|(?<=[.!?])\s+|\n+", text)
+
+
+def test_names_are_no_prose():
+    rng = random.Random(10)
+    slow = re.compile(r"[A-Za-z0-9_.:-]*[/\\=@][A-Za-z0-9_./:\\=-]*|[A-Za-z_]*[\d_][A-Za-z0-9_]*")
+    for _ in range(3000):
+        text = "".join(rng.choices("abC_9-./:=@\\ 中٣７~", k=rng.randint(0, 30)))
+        assert defects._NOT_PROSE.sub(" ", text) == slow.sub(" ", text)
+
+
 def test_defects_of_a_pair(spark):
     rows = [
         (Q, None, False),
